@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferret.functions.text import lines_of, tokens_of
-from ferret.operators import counts, exact, fuzzy, search
+from ferret.operators import counts, exact, fuzzy, ingest, search
 from ferret.plans import oracle as O
-from ferret.sources.tables import CORPORA, read_corpus
+from ferret.sources.tables import CORPORA, read_corpus, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -206,3 +206,113 @@ def q_fuzzy_hits_per_file(spark, sf_dir):
 def q_search_method_both(spark, sf_dir):
     lines, keys = corpus_lines(spark, sf_dir, "documents")
     return search.search_methods(lines, "license", keys, methods=("exact", "fuzzy"), cutoff=0.85)
+
+
+# ---------------------------------------------------------------- ingest (S5-S8, C1-C8)
+
+def manifest(spark, sf_dir):
+    """Source files stood in by documents: name d{doc_id div 8}{ext}, ext by doc_id % 8."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    ext = F.element_at(F.array(*[F.lit(e) for e in O.MANIFEST_EXTS]), (F.col("doc_id") % 8 + 1).cast("int"))
+    name = F.concat(F.lit("d"), F.expr("doc_id div 8").cast("string"), ext)
+    return docs.select("doc_id", name.alias("file_name"), "text")
+
+
+def _converted(spark, sf_dir, type_match="member"):
+    files = ingest.classify(manifest(spark, sf_dir), "file_name", type_match=type_match)
+    return ingest.convert(files, "file_name", "text", text_input=True)
+
+
+_M = O.manifest_cte()
+_CLS = O.classified_cte("manifest", "file_name", ingest.DEFAULT_TYPES)
+_CLS_SUB = O.classified_cte("manifest", "file_name", ingest.DEFAULT_TYPES, "substring")
+_CONV = O.converted_cte("classified", "file_name", "text")
+_NAMED = O.named_cte("converted", "file_name")
+
+
+@register("type_dispatch", f"WITH {_M}, {_CLS} SELECT doc_id, file_name, ext, label, handler FROM classified")
+def q_type_dispatch(spark, sf_dir):
+    return ingest.classify(manifest(spark, sf_dir), "file_name").select(
+        "doc_id", "file_name", "ext", "label", "handler")
+
+
+@register("type_dispatch_substring",
+          f"WITH {_M}, {_CLS_SUB} SELECT doc_id, file_name, ext, label, handler FROM classified")
+def q_type_dispatch_substring(spark, sf_dir):
+    return ingest.classify(manifest(spark, sf_dir), "file_name", type_match="substring").select(
+        "doc_id", "file_name", "ext", "label", "handler")
+
+
+@register("conversion_messages",
+          f"WITH {_M}, {_CLS}, {_CONV} SELECT doc_id, file_name, status, message FROM converted")
+def q_conversion_messages(spark, sf_dir):
+    return _converted(spark, sf_dir).select("doc_id", "file_name", "status", "message")
+
+
+_REPORT_COLS = ", ".join(f"count(*) FILTER (WHERE status = '{s}') AS {s}" for s in ingest.STATUSES)
+
+
+@register("conversion_report", f"WITH {_M}, {_CLS}, {_CONV} SELECT {_REPORT_COLS} FROM converted")
+def q_conversion_report(spark, sf_dir):
+    return ingest.report(_converted(spark, sf_dir))
+
+
+@register("conversion_report_substring",
+          f"WITH {_M}, {_CLS_SUB}, {_CONV} SELECT {_REPORT_COLS} FROM converted")
+def q_conversion_report_substring(spark, sf_dir):
+    return ingest.report(_converted(spark, sf_dir, "substring"))
+
+
+@register("conversion_report_verbose",
+          f"WITH {_M}, {_CLS}, {_CONV} SELECT status, count(*) AS files FROM converted GROUP BY status")
+def q_conversion_report_verbose(spark, sf_dir):
+    return ingest.report_verbose(_converted(spark, sf_dir))
+
+
+@register("output_naming",
+          f"WITH {_M}, {_CLS}, {_CONV}, {_NAMED} SELECT doc_id, file_name, out_name FROM named "
+          f"WHERE out_name IS NOT NULL")
+def q_output_naming(spark, sf_dir):
+    named = ingest.name_outputs(_converted(spark, sf_dir), "file_name")
+    return named.filter(F.col("out_name").isNotNull()).select("doc_id", "file_name", "out_name")
+
+
+@register("removal_manifest",
+          f"WITH {_M}, {_CLS}, {_CONV}, {_NAMED} SELECT file_name, out_name FROM named "
+          f"WHERE status IN ('success', 'unsure')")
+def q_removal_manifest(spark, sf_dir):
+    return ingest.removal_manifest(ingest.name_outputs(_converted(spark, sf_dir), "file_name"), "file_name")
+
+
+@register("convert_plaintext",
+          f"WITH pg AS (SELECT page_id, 'p' || CAST(page_id AS VARCHAR) || '.html' AS name, html FROM pages), "
+          f"{O.classified_cte('pg', 'name', ingest.DEFAULT_TYPES)}, {O.converted_cte('classified', 'name', 'html')}, "
+          f"{O.named_cte('converted', 'name')} "
+          f"SELECT page_id, out_name, status, out_text AS text FROM named")
+def q_convert_plaintext(spark, sf_dir):
+    pages = read_table(spark, sf_dir, "pages", ["page_id", "html"]).select(
+        "page_id", F.format_string("p%d.html", "page_id").alias("name"), "html")
+    conv = ingest.convert(ingest.classify(pages, "name"), "name", "html", text_input=True)
+    return ingest.name_outputs(conv, "name").select("page_id", "out_name", "status", "text")
+
+
+@register("inventory",
+          f"WITH {_M}, {_CLS} SELECT file_name, CASE WHEN ext = '.txt' THEN 'text' WHEN ext = '.docx' THEN 'docx' "
+          f"WHEN ext = '.pdf' THEN 'pdf' WHEN list_contains([{', '.join(O.sql_str(t) for t in ingest.DEFAULT_TYPES)}], "
+          f"ext) THEN 'extra' ELSE 'other' END AS type_class, "
+          f"CAST(row_number() OVER (ORDER BY lower(file_name), file_name) AS BIGINT) AS rank FROM classified")
+def q_inventory(spark, sf_dir):
+    return ingest.inventory(manifest(spark, sf_dir).select("file_name"), "file_name")
+
+
+_WRITES = "status IN ('success', 'unsure')"
+
+
+@register("convert_then_search",
+          f"WITH {_M}, {_CLS}, {_CONV}, {_NAMED}, "
+          f"{O.lines_cte('named', ['out_name'], 'out_text', where=_WRITES)} "
+          f"SELECT out_name, line_no, {O.strip_sql('line')} AS line FROM lines WHERE contains(lower(line), 'license')")
+def q_convert_then_search(spark, sf_dir):
+    named = ingest.name_outputs(_converted(spark, sf_dir), "file_name")
+    texts = named.filter(F.col("status").isin("success", "unsure")).select("out_name", F.col("text"))
+    return exact.exact_search_texts(texts, "license", ["out_name"], "text")

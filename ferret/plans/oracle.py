@@ -115,3 +115,48 @@ def fuzzy_ctes(table: str, keys, text: str, query: str, cutoff: float) -> str:
         f"best AS (SELECT {k}, line_no, {strip_sql('line')} AS line, token AS matched_token, "
         f"select_score, confidence FROM ranked WHERE rn = 1)"
     )
+
+
+# ---------------------------------------------------------------- ingest
+
+# Extension of the manifest file for doc_id % 8 (0..7).
+MANIFEST_EXTS = (".txt", ".docx", ".pdf", ".html", ".C", ".c", ".zip", "")
+EXT_RE = r"^\.*[^.].*?(\.[^.]*)$"
+
+
+def manifest_cte() -> str:
+    exts = ", ".join(sql_str(e) for e in MANIFEST_EXTS)
+    return (f"manifest AS (SELECT doc_id, 'd' || CAST(doc_id // 8 AS VARCHAR) || ([{exts}])[doc_id % 8 + 1] "
+            f"AS file_name, text FROM documents)")
+
+
+def classified_cte(src: str, name: str, types, type_match: str = "member", out: str = "classified") -> str:
+    if type_match == "member":
+        extra = f"list_contains([{', '.join(sql_str(t) for t in types)}], ext)"
+    else:
+        extra = f"instr({sql_str(str(tuple(types)))}, ext) > 0"
+    return (f"{out}_e AS (SELECT *, regexp_extract({name}, '{EXT_RE}', 1) AS ext FROM {src}), "
+            f"{out} AS (SELECT *, left({name}, length({name}) - length(ext)) AS head, "
+            f"upper(regexp_replace(ext, '^\\.+', '')) AS label, "
+            f"CASE WHEN ext = '.docx' THEN 'docx' WHEN ext = '.pdf' THEN 'pdf' "
+            f"WHEN {extra} THEN 'plain' ELSE 'skip' END AS handler FROM {out}_e)")
+
+
+def converted_cte(src: str, name: str, text: str, out: str = "converted") -> str:
+    """No codecs registered: docx/pdf fail, plain copies are 'unsure'."""
+    return (f"{out}_s AS (SELECT *, CASE handler WHEN 'plain' THEN 'unsure' WHEN 'docx' THEN 'fail' "
+            f"WHEN 'pdf' THEN 'fail' ELSE 'skip' END AS status, "
+            f"CASE WHEN handler = 'plain' THEN regexp_replace({text}, '\\r\\n|\\r', chr(10), 'g') END AS out_text "
+            f"FROM {src}), "
+            f"{out} AS (SELECT *, CASE status "
+            f"WHEN 'fail' THEN 'XX No converter for ' || ext || ' is available' || chr(10) || '|| Failed to convert ' || {name} "
+            f"WHEN 'unsure' THEN '@@ (' || ext || ') is an unsupported file format' || chr(10) || '|| Tried to convert ' || {name} "
+            f"ELSE '%% Skipped ' || {name} END AS message FROM {out}_s)")
+
+
+def named_cte(src: str, name: str, out: str = "named") -> str:
+    return (f"{out} AS (SELECT *, CASE WHEN status IN ('success', 'unsure') THEN "
+            f"CASE WHEN rk = 0 THEN head || ' (' || label || ').txt' "
+            f"ELSE head || ' (' || label || ') (' || CAST(rk AS VARCHAR) || ').txt' END END AS out_name "
+            f"FROM (SELECT *, CASE WHEN status IN ('success', 'unsure') THEN row_number() OVER "
+            f"(PARTITION BY status IN ('success', 'unsure'), head, label ORDER BY {name}) - 1 END AS rk FROM {src}))")
