@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferret.functions.text import lines_of, tokens_of
-from ferret.operators import counts, exact, fuzzy, ingest, search
+from ferret.operators import counts, exact, fuzzy, ingest, multi, search
 from ferret.plans import oracle as O
 from ferret.sources.tables import CORPORA, read_corpus, read_table
 
@@ -316,3 +316,39 @@ def q_convert_then_search(spark, sf_dir):
     named = ingest.name_outputs(_converted(spark, sf_dir), "file_name")
     texts = named.filter(F.col("status").isin("success", "unsure")).select("out_name", F.col("text"))
     return exact.exact_search_texts(texts, "license", ["out_name"], "text")
+
+
+# ---------------------------------------------------------------- many queries (M1, M2)
+
+def benchmark_queries(spark, sf_dir):
+    """(query_id, query): the second word, raw case, of each benchmark item."""
+    from ferret.functions.text import WS_RUN
+    b = read_table(spark, sf_dir, "benchmark", ["item_id", "text"])
+    words = F.filter(F.split("text", WS_RUN, -1), lambda t: t != F.lit(""))
+    return (b.select(F.col("item_id").alias("query_id"), words.alias("_w"))
+            .filter(F.size("_w") >= 2).select("query_id", F.col("_w")[1].alias("query")))
+
+
+_EXACT_MANY_SQL = (f"WITH {O.queries_cte()}, {O.lines_cte('documents', ['doc_id'], 'text')} "
+                   f"SELECT q.query_id, l.doc_id, l.line_no, {O.strip_sql('l.line')} AS line "
+                   f"FROM lines l JOIN queries q ON contains(lower(l.line), lower(q.query))")
+
+
+@register("exact_multi_query", _EXACT_MANY_SQL)
+def q_exact_multi_query(spark, sf_dir):
+    lines, keys = corpus_lines(spark, sf_dir, "documents")
+    return multi.exact_search_many(lines, benchmark_queries(spark, sf_dir), keys)
+
+
+@register("exact_multi_query_trigram", _EXACT_MANY_SQL)
+def q_exact_multi_query_trigram(spark, sf_dir):
+    lines, keys = corpus_lines(spark, sf_dir, "documents")
+    return multi.exact_search_many(lines, benchmark_queries(spark, sf_dir), keys, strategy="trigram")
+
+
+@register("fuzzy_multi_query",
+          f"{O.fuzzy_many_ctes(0.85)} SELECT query_id, doc_id, line_no, line, matched_token, select_score, "
+          f"confidence FROM best")
+def q_fuzzy_multi_query(spark, sf_dir):
+    lines, keys = corpus_lines(spark, sf_dir, "documents")
+    return multi.fuzzy_search_many(lines, benchmark_queries(spark, sf_dir), keys, 0.85)

@@ -160,3 +160,41 @@ def named_cte(src: str, name: str, out: str = "named") -> str:
             f"ELSE head || ' (' || label || ') (' || CAST(rk AS VARCHAR) || ').txt' END END AS out_name "
             f"FROM (SELECT *, CASE WHEN status IN ('success', 'unsure') THEN row_number() OVER "
             f"(PARTITION BY status IN ('success', 'unsure'), head, label ORDER BY {name}) - 1 END AS rk FROM {src}))")
+
+
+# ---------------------------------------------------------------- many queries
+
+def queries_cte() -> str:
+    """Queries derived from benchmark: the second word (raw case) of each item's text."""
+    return (f"queries AS (SELECT item_id AS query_id, "
+            f"list_filter(regexp_split_to_array(text, '{WS_RUN}'), lambda x: x <> '')[2] AS query "
+            f"FROM benchmark WHERE len(list_filter(regexp_split_to_array(text, '{WS_RUN}'), lambda x: x <> '')) >= 2)")
+
+
+def fuzzy_many_ctes(cutoff: float) -> str:
+    c = f"{cutoff!r}::DOUBLE"
+    overlap = ("list_sum(list_transform(list_distinct(string_split(q.lq, '')), lambda ch: "
+               "least(length(q.lq) - length(replace(q.lq, ch, '')), "
+               "length(v.token) - length(replace(v.token, ch, '')))))")
+    return (
+        f"WITH RECURSIVE {queries_cte()}, {lines_cte('documents', ['doc_id'], 'text')}, "
+        f"tokens AS (SELECT doc_id, line_no, line, unnest({words_sql('line')}) AS token FROM lines), "
+        f"vocab AS (SELECT DISTINCT token FROM tokens), "
+        f"lq AS (SELECT query_id, query, lower(query) AS lq FROM queries), "
+        f"cand AS (SELECT v.token, q.query_id, q.query, q.lq FROM vocab v, lq q "
+        f"WHERE 2.0::DOUBLE * least(length(v.token), length(q.lq)) / (length(v.token) + length(q.lq)) >= {c} "
+        f"AND 2.0::DOUBLE * {overlap} / (length(v.token) + length(q.lq)) >= {c}), "
+        f"sel_pairs AS (SELECT DISTINCT token AS a, lq AS b FROM cand), "
+        f"{ratio_ctes('sel_pairs', 'sel')}, "
+        f"chosen AS (SELECT c.token, c.query_id, c.query, r.ratio AS select_score FROM cand c "
+        f"JOIN sel_ratio r ON r.a = c.token AND r.b = c.lq WHERE r.ratio >= {c}), "
+        f"conf_pairs AS (SELECT DISTINCT query AS a, token AS b FROM chosen), "
+        f"{ratio_ctes('conf_pairs', 'conf')}, "
+        f"scores AS (SELECT c.token, c.query_id, c.select_score, r.ratio AS confidence FROM chosen c "
+        f"JOIN conf_ratio r ON r.a = c.query AND r.b = c.token), "
+        f"ranked AS (SELECT s.query_id, t.doc_id, t.line_no, t.line, t.token, s.select_score, s.confidence, "
+        f"row_number() OVER (PARTITION BY s.query_id, t.doc_id, t.line_no "
+        f"ORDER BY s.select_score DESC, t.token DESC) AS rn FROM tokens t JOIN scores s ON s.token = t.token), "
+        f"best AS (SELECT query_id, doc_id, line_no, {strip_sql('line')} AS line, token AS matched_token, "
+        f"select_score, confidence FROM ranked WHERE rn = 1)"
+    )
