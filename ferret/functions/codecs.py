@@ -1,0 +1,46 @@
+"""Codecs for the ingest registry: ``ext -> (bytes -> str)``.
+
+Only what the standard library can do is built in: DOCX is a zip of XML, its
+paragraphs are ``w:p`` elements with text runs ``w:t``. A PDF codec needs an
+outside parser; it is registered only when one can be imported.
+"""
+
+from __future__ import annotations
+
+import io
+import zipfile
+from xml.etree import ElementTree
+
+_W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
+
+
+def docx_text(blob: bytes) -> str:
+    """Plain text of a DOCX body: one line per paragraph, tabs and breaks kept."""
+    with zipfile.ZipFile(io.BytesIO(blob)) as z:
+        root = ElementTree.fromstring(z.read("word/document.xml"))
+    out = []
+    for p in root.iter(f"{_W}p"):
+        parts = []
+        for node in p.iter():
+            if node.tag == f"{_W}t" and node.text:
+                parts.append(node.text)
+            elif node.tag == f"{_W}tab":
+                parts.append("\t")
+            elif node.tag in (f"{_W}br", f"{_W}cr"):
+                parts.append("\n")
+        out.append("".join(parts))
+    return "\n".join(out) + ("\n" if out else "")
+
+
+def available_codecs() -> dict:
+    codecs = {".docx": docx_text}
+    try:  # optional outside parser
+        from pdfminer.high_level import extract_text  # type: ignore
+
+        def pdf_text(blob: bytes) -> str:
+            return extract_text(io.BytesIO(blob))
+
+        codecs[".pdf"] = pdf_text
+    except Exception:
+        pass
+    return codecs

@@ -194,12 +194,16 @@ def name_outputs(converted: DataFrame, name_col: str = "name", existing: DataFra
         return ranked.withColumn("out_name", F.when(writes, _out_name(F.col("head"), F.col("label"),
                                                                      F.col("_rank")))).drop("_rank")
     # Free suffixes per group: candidates 0 .. members + taken - 1, minus taken names.
-    pat = r"^(.*) \(([^()]*)\)(?: \((\d+)\))?\.txt$"
-    taken = (existing.select(F.col("out_name").alias("taken"))
-             .withColumn("head", F.regexp_extract("taken", pat, 1))
-             .withColumn("label", F.regexp_extract("taken", pat, 2))
-             .filter(F.col("taken").rlike(pat)))
-    taken_n = taken.groupBy("head", "label").agg(F.count(F.lit(1)).alias("_taken"))
+    # A taken name like "a (C) (2).txt" reads as (a, C, 2) or as (a (C), 2); it is
+    # counted for both readings, extra candidates cost nothing.
+    parses = []
+    for pat in (r"^(.*) \(([^()]*)\)(?: \((\d+)\))?\.txt$", r"^(.*?) \(([^()]*)\)(?: \((\d+)\))?\.txt$"):
+        parses.append(existing.select(F.col("out_name").alias("taken"))
+                      .filter(F.col("taken").rlike(pat))
+                      .select("taken", F.regexp_extract("taken", pat, 1).alias("head"),
+                              F.regexp_extract("taken", pat, 2).alias("label")))
+    taken_n = (parses[0].unionByName(parses[1]).distinct()
+               .groupBy("head", "label").agg(F.count(F.lit(1)).alias("_taken")))
     groups = (ranked.filter(writes).groupBy("head", "label").agg(F.count(F.lit(1)).alias("_members"))
               .join(taken_n, ["head", "label"], "left")
               .select("head", "label", F.explode(F.sequence(
@@ -264,3 +268,24 @@ def with_rank(df: DataFrame, order_cols, rank_col: str = "rank") -> DataFrame:
             .withColumn(rank_col, (F.coalesce(F.col("_before"), F.lit(0)) + F.col("_mid") - F.col("_first") + 1)
                         .cast("bigint"))
             .drop("_pid", "_mid", "_first", "_before"))
+
+
+def ingest_files(spark, path: str, codecs: dict | None = None, types=DEFAULT_TYPES,
+                 type_match: str = "member", existing: DataFrame | None = None) -> DataFrame:
+    """Convert every file directly in ``path``: path, name, ext, handler, status, message, out_name, text.
+
+    One ``binaryFile`` scan; plain copies decode natively, codec rows go through
+    the registry in Arrow batches; a failing codec marks its row 'fail'.
+    """
+    from ferret.sources.files import read_binary
+
+    files = classify(read_binary(spark, path), "name", types, type_match)
+    conv = convert(files, "name", "content", text_input=False, codecs=codecs)
+    named = name_outputs(conv, "name", existing)
+    return named.select("path", "name", "ext", "handler", "status", "message", "out_name", "text")
+
+
+def write_texts(converted: DataFrame, out_path: str, mode: str = "errorifexists") -> None:
+    """Sink: the converted texts as a Parquet table (out_name, text), searchable directly."""
+    (converted.filter(F.col("status").isin("success", "unsure"))
+     .select("out_name", "text").write.mode(mode).parquet(out_path))
