@@ -33,17 +33,20 @@ def strip_ws(col) -> Column:
 def lines_of(df: DataFrame, id_cols, text_col: str, keep_cols=()) -> DataFrame:
     """Split a text column into numbered lines (1-based), universal newlines.
 
-    A final terminator adds no line and an empty text has no line, so the last
-    split element is dropped when it is empty. Narrow: no shuffle.
+    A final terminator adds no line and an empty text has no line. Narrow: no shuffle.
     """
     id_cols = list(id_cols)
     keep_cols = list(keep_cols)
-    parts = df.select(*id_cols, *keep_cols,
-                      F.split(F.col(text_col), LINE_BREAK, -1).alias("_parts"))
-    exploded = parts.select(*id_cols, *keep_cols, F.size("_parts").alias("_n"),
-                            F.posexplode("_parts").alias("_pos", "line"))
+    # One final terminator is cut before the split and an empty text maps to no
+    # line, so nothing per text is needed after the generator (a per-text value
+    # referenced above posexplode would be recomputed for every line).
+    t = F.col(text_col)
+    body = (F.when(t.endswith("\r\n"), F.left(t, F.length(t) - 2))
+            .when(t.endswith("\n") | t.endswith("\r"), F.left(t, F.length(t) - 1))
+            .otherwise(t))
+    parts = F.when(t == F.lit(""), F.array().cast("array<string>")).otherwise(F.split(body, LINE_BREAK, -1))
+    exploded = df.select(*id_cols, *keep_cols, F.posexplode(parts).alias("_pos", "line"))
     return (exploded
-            .filter(~((F.col("_pos") == F.col("_n") - 1) & (F.col("line") == F.lit(""))))
             .select(*id_cols, *keep_cols,
                     (F.col("_pos") + 1).cast("bigint").alias("line_no"), "line"))
 
