@@ -98,6 +98,57 @@ def score_udf(query: str):
     return score
 
 
+BEST_TYPE = T.StructType([
+    T.StructField("matched_token", T.StringType()),
+    T.StructField("select_score", T.DoubleType()),
+    T.StructField("confidence", T.DoubleType()),
+])
+
+
+def best_word_udf(query: str, cutoff: float):
+    """Pandas UDF: array of candidate words of one line -> best (word, select_score, confidence).
+
+    The best word has the largest select_score >= cutoff, ties to the larger word
+    (what ``get_close_matches(n=1)`` returns); no such word gives null fields.
+    Scores are memoised per task, so a repeated word costs a dict lookup.
+    """
+    qlow = query.lower()
+    sel_memo: dict = {}
+    conf_memo: dict = {}
+
+    @F.pandas_udf(BEST_TYPE)
+    def best(cands: pd.Series) -> pd.DataFrame:
+        from difflib import SequenceMatcher
+
+        toks, sels, confs = [], [], []
+        for arr in cands:
+            bt, bs = None, -1.0
+            for t in arr:
+                s = sel_memo.get(t)
+                if s is None:
+                    s = SequenceMatcher(None, t, qlow).ratio()
+                    if len(sel_memo) < 1_000_000:
+                        sel_memo[t] = s
+                if s >= cutoff and (s > bs or (s == bs and t > bt)):
+                    bt, bs = t, s
+            if bt is None:
+                toks.append(None)
+                sels.append(None)
+                confs.append(None)
+                continue
+            c = conf_memo.get(bt)
+            if c is None:
+                c = SequenceMatcher(None, query, bt).ratio()
+                if len(conf_memo) < 1_000_000:
+                    conf_memo[bt] = c
+            toks.append(bt)
+            sels.append(bs)
+            confs.append(c)
+        return pd.DataFrame({"matched_token": toks, "select_score": sels, "confidence": confs})
+
+    return best
+
+
 def pair_score_udf():
     """Pandas UDF over (token, query) pairs, for many queries at once."""
     memo: dict = {}

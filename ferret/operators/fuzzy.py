@@ -1,17 +1,17 @@
 """Fuzzy search: per line, the best word whose similarity to the query reaches the cutoff.
 
-Plan, one scan of the corpus:
-
-1. split lines into lower-case words (native ``explode``), keeping the line;
-2. drop words that fail the length or character bound (native, codegen);
-3. score the survivors in an Arrow-batched UDF (each distinct word once per
-   batch and task); keep ``select_score >= cutoff``;
-4. best word per line: ``max(struct(select_score, token, ...))``. Every word of
-   a line comes from one input row, so the partial aggregate in the task already
-   reduces each line to one row: the shuffle carries one row per hit line.
-
-Ties between equal scores go to the larger word (code-point order equals
-Spark's binary string order), as ``heapq.nlargest`` does.
+Plan, one scan of the corpus and no shuffle:
+
+1. split each line into lower-case words (native array);
+2. keep the words that pass the length and character bounds (native predicate
+   inside ``filter``); lines without a candidate are dropped here;
+3. only the candidate arrays cross into Python (Arrow batches), where each word
+   is scored once per task (memo) and the best word of the line is chosen:
+   largest select_score >= cutoff, ties to the larger word, as
+   ``heapq.nlargest`` inside ``get_close_matches`` does.
+
+All words of a line live in one row, so choosing the best needs no grouping;
+the plan is scan -> project -> filter -> Python -> filter, embarrassingly parallel.
 """
 
 from __future__ import annotations
@@ -19,48 +19,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferret.functions.similarity import bounds_pass, check_cutoff, score_udf
+from ferret.functions.similarity import best_word_udf, bounds_pass, check_cutoff, score_udf
 from ferret.functions.text import strip_ws, words_of
 from ferret.operators.exact import check_query
 
 DEFAULT_CUTOFF = 0.85
 
 
-def candidates(lines: DataFrame, query: str, key_cols, cutoff: float = DEFAULT_CUTOFF,
-               line_col: str = "line") -> DataFrame:
-    """Word occurrences that pass both native bounds: keys, line_no, line, token."""
-    q = check_query(query).lower()
-    cutoff = check_cutoff(cutoff)
-    toks = lines.select(*key_cols, "line_no", F.col(line_col).alias("line"),
-                        F.explode(words_of(line_col)).alias("token"))
-    return toks.filter(bounds_pass(F.col("token"), q, cutoff))
-
-
 def scored(cands: DataFrame, query: str, cutoff: float = DEFAULT_CUTOFF) -> DataFrame:
     """Adds select_score and confidence; keeps select_score >= cutoff."""
     cutoff = check_cutoff(cutoff)
-    s = score_udf(query)(F.col("token"))
+    s = score_udf(query).asNondeterministic()(F.col("token"))
     return (cands.withColumn("_s", s)
             .select(*[c for c in cands.columns], F.col("_s.select_score").alias("select_score"),
                     F.col("_s.confidence").alias("confidence"))
             .filter(F.col("select_score") >= F.lit(cutoff)))
 
 
-def best_per_line(hits: DataFrame, key_cols) -> DataFrame:
-    best = (hits.groupBy(*key_cols, "line_no")
-            .agg(F.max(F.struct("select_score", "token", "confidence", "line")).alias("_b")))
-    return best.select(*key_cols, "line_no", strip_ws(F.col("_b.line")).alias("line"),
-                       F.col("_b.token").alias("matched_token"),
-                       F.col("_b.select_score").alias("select_score"),
-                       F.col("_b.confidence").alias("confidence"))
-
-
 def fuzzy_search(lines: DataFrame, query: str, key_cols, cutoff: float = DEFAULT_CUTOFF,
                  line_col: str = "line") -> DataFrame:
     """Hits: keys, line_no, stripped line, matched_token, select_score, confidence."""
     key_cols = list(key_cols)
-    return best_per_line(scored(candidates(lines, query, key_cols, cutoff, line_col), query, cutoff),
-                         key_cols)
+    q = check_query(query).lower()
+    cutoff = check_cutoff(cutoff)
+    cands = F.filter(words_of(line_col), lambda t: bounds_pass(t, q, cutoff))
+    with_cands = (lines.select(*key_cols, "line_no", F.col(line_col).alias("line"), cands.alias("_c"))
+                  .filter(F.size("_c") > 0))
+    best = best_word_udf(query, cutoff).asNondeterministic()(F.col("_c"))
+    return (with_cands.select(*key_cols, "line_no", "line", best.alias("_b"))
+            .filter(F.col("_b.matched_token").isNotNull())
+            .select(*key_cols, "line_no", strip_ws("line").alias("line"),
+                    F.col("_b.matched_token").alias("matched_token"),
+                    F.col("_b.select_score").alias("select_score"),
+                    F.col("_b.confidence").alias("confidence")))
 
 
 def fuzzy_scores(tokens: DataFrame, query: str, cutoff: float = DEFAULT_CUTOFF) -> DataFrame:
