@@ -63,9 +63,13 @@ def fuzzy_scores(tokens: DataFrame, query: str, cutoff: float = DEFAULT_CUTOFF)
 
 
 def vocabulary(tokens: DataFrame, key_cols) -> DataFrame:
-    """Distinct words with occurrence and document counts (partial aggregation per task)."""
-    return tokens.groupBy("token").agg(F.count(F.lit(1)).alias("occurrences"),
-                                       F.count_distinct(*key_cols).alias("docs"))
+    """Distinct words with occurrence and document counts.
+
+    Two hash aggregations, (word, document) then word, each with a partial
+    aggregate in the task; no Expand as a count-distinct would add.
+    """
+    per_doc = tokens.groupBy("token", *key_cols).agg(F.count(F.lit(1)).alias("_c"))
+    return per_doc.groupBy("token").agg(F.sum("_c").alias("occurrences"), F.count(F.lit(1)).alias("docs"))
 
 
 def format_confidence(col) -> F.Column:
