@@ -18,3 +18,14 @@ def hits_per_file(hits: DataFrame, key_cols) -> DataFrame:
 def hits_total(hits: DataFrame) -> DataFrame:
     """One row, 0 when there is no hit."""
     return hits.agg(F.count(F.lit(1)).alias("hits"))
+
+
+def observe_hits(hits: DataFrame, name: str = "hits"):
+    """Count hits while they are written (no second pass): returns (df, observation).
+
+    After an action on ``df`` (a write, say), ``observation.get["hits"]`` holds the total.
+    """
+    from pyspark.sql import Observation
+
+    obs = Observation(name)
+    return hits.observe(obs, F.count(F.lit(1)).alias("hits")), obs

@@ -126,7 +126,7 @@ FUZZY = {
     "fuzzy_search_upper": ("documents", "The", 0.85),
     "fuzzy_search_typo": ("documents", "Reaution", 0.85),
     "fuzzy_search_low_cutoff": ("documents", "der", 0.6),
-    "fuzzy_search_conversations": ("conversations", "hola", 0.75),
+    "fuzzy_search_conversations": ("conversations", "Retion", 0.8),
 }
 
 
