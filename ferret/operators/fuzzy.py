@@ -23,6 +23,7 @@ from ferret.functions.similarity import best_word_udf, bounds_pass, check_cutoff
 from ferret.functions.text import strip_ws, words_of
 from ferret.operators.exact import check_query
 
+# Fixed value: the default cutoff of the fuzzy search.
 DEFAULT_CUTOFF = 0.85
 
 

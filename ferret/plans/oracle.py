@@ -142,22 +142,35 @@ def classified_cte(src: str, name: str, types, type_match: str = "member", out:
             f"WHEN {extra} THEN 'plain' ELSE 'skip' END AS handler FROM {out}_e)")
 
 
+def sql_fill(template: str, **exprs) -> str:
+    """A message template as a SQL string expression."""
+    import re
+    parts = re.split(r"\{(\w+)\}", template)
+    out = [sql_str(p) if i % 2 == 0 else f"CAST({exprs[p]} AS VARCHAR)" for i, p in enumerate(parts)
+           if i % 2 == 1 or p != ""]
+    return "(" + " || ".join(out) + ")"
+
+
 def converted_cte(src: str, name: str, text: str, out: str = "converted") -> str:
     """No codecs registered: docx/pdf fail, plain copies are 'unsure'."""
+    from ferret.operators import ingest as I
+    fail = sql_fill(I.MSG_FAIL, cause=sql_fill(I.CAUSE_NO_CODEC, ext="ext"), name=name)
     return (f"{out}_s AS (SELECT *, CASE handler WHEN 'plain' THEN 'unsure' WHEN 'docx' THEN 'fail' "
             f"WHEN 'pdf' THEN 'fail' ELSE 'skip' END AS status, "
             f"CASE WHEN handler = 'plain' THEN regexp_replace({text}, '\\r\\n|\\r', chr(10), 'g') END AS out_text "
             f"FROM {src}), "
             f"{out} AS (SELECT *, CASE status "
-            f"WHEN 'fail' THEN 'XX No converter for ' || ext || ' is available' || chr(10) || '|| Failed to convert ' || {name} "
-            f"WHEN 'unsure' THEN '@@ (' || ext || ') is an unsupported file format' || chr(10) || '|| Tried to convert ' || {name} "
-            f"ELSE '%% Skipped ' || {name} END AS message FROM {out}_s)")
+            f"WHEN 'fail' THEN {fail} "
+            f"WHEN 'unsure' THEN {sql_fill(I.MSG_UNSURE, ext='ext', name=name)} "
+            f"ELSE {sql_fill(I.MSG_SKIP, name=name)} END AS message FROM {out}_s)")
 
 
 def named_cte(src: str, name: str, out: str = "named") -> str:
+    from ferret.operators import ingest as I
+    first = sql_fill(I.OUT_NAME, head="head", label="label")
+    nth = sql_fill(I.OUT_NAME_N, head="head", label="label", n="rk")
     return (f"{out} AS (SELECT *, CASE WHEN status IN ('success', 'unsure') THEN "
-            f"CASE WHEN rk = 0 THEN head || ' (' || label || ').txt' "
-            f"ELSE head || ' (' || label || ') (' || CAST(rk AS VARCHAR) || ').txt' END END AS out_name "
+            f"CASE WHEN rk = 0 THEN {first} ELSE {nth} END END AS out_name "
             f"FROM (SELECT *, CASE WHEN status IN ('success', 'unsure') THEN row_number() OVER "
             f"(PARTITION BY status IN ('success', 'unsure'), head, label ORDER BY {name}) - 1 END AS rk FROM {src}))")
 

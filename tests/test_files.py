@@ -88,9 +88,10 @@ def test_whole_text_reader_keeps_bom(spark, corpus):
 
 def test_type_list_file(spark, tmp_path):
     p = tmp_path / "types.conf"
-    p.write_text(ingest.DEFAULT_TYPES_TEXT)
+    p.write_text(ingest.default_types_text())
     got = [r.ext for r in read_type_list(spark, str(p)).collect()]
     assert tuple(got) == ingest.DEFAULT_TYPES
+    assert ingest.parse_types(ingest.default_types_text().splitlines()) == ingest.DEFAULT_TYPES
     assert ingest.DEFAULT_TYPES[:3] == (".css", ".sass", ".html") and len(ingest.DEFAULT_TYPES) == 40
 
 
