@@ -25,6 +25,10 @@ from pyspark.sql import types as T
 # long; the length bound alone then guards the UDF.
 MAX_BOUND_CHARS = 200
 
+# Per-task memo of computed scores; bounded so a Python worker stays small
+# (about 40 MB at the limit) whatever the vocabulary.
+MEMO_LIMIT = 250_000
+
 SCORE_TYPE = T.StructType([
     T.StructField("select_score", T.DoubleType()),
     T.StructField("confidence", T.DoubleType()),
@@ -90,7 +94,7 @@ def score_udf(query: str):
             r = memo.get(t)
             if r is None:
                 r = (SequenceMatcher(None, t, qlow).ratio(), SequenceMatcher(None, query, t).ratio())
-                if len(memo) < 1_000_000:
+                if len(memo) < MEMO_LIMIT:
                     memo[t] = r
             sel[i], conf[i] = r
         return pd.DataFrame({"select_score": sel[codes], "confidence": conf[codes]})
@@ -127,7 +131,7 @@ def best_word_udf(query: str, cutoff: float):
                 s = sel_memo.get(t)
                 if s is None:
                     s = SequenceMatcher(None, t, qlow).ratio()
-                    if len(sel_memo) < 1_000_000:
+                    if len(sel_memo) < MEMO_LIMIT:
                         sel_memo[t] = s
                 if s >= cutoff and (s > bs or (s == bs and t > bt)):
                     bt, bs = t, s
@@ -139,7 +143,7 @@ def best_word_udf(query: str, cutoff: float):
             c = conf_memo.get(bt)
             if c is None:
                 c = SequenceMatcher(None, query, bt).ratio()
-                if len(conf_memo) < 1_000_000:
+                if len(conf_memo) < MEMO_LIMIT:
                     conf_memo[bt] = c
             toks.append(bt)
             sels.append(bs)
@@ -165,7 +169,7 @@ def pair_score_udf():
             r = memo.get((t, q))
             if r is None:
                 r = (SequenceMatcher(None, t, q.lower()).ratio(), SequenceMatcher(None, q, t).ratio())
-                if len(memo) < 1_000_000:
+                if len(memo) < MEMO_LIMIT:
                     memo[(t, q)] = r
             sel[i], conf[i] = r
         return pd.DataFrame({"select_score": sel, "confidence": conf})
