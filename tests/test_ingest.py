@@ -74,3 +74,26 @@ def test_ingest_files_with_codecs(spark, tmp_path):
 
 def test_docx_codec():
     assert docx_text(_docx(["a", "b"])) == "a\nb\n"
+
+
+def test_convert_then_search_files(spark, tmp_path):
+    from ferret.operators.exact import exact_search_texts
+    from ferret.operators.fuzzy import fuzzy_search
+    from ferret.functions.text import lines_of
+    d = tmp_path / "inbox"
+    d.mkdir()
+    (d / "a.md").write_bytes(b"# Title\r\nThis LICENSE applies\r\n")
+    (d / "b.py").write_bytes(b"# the licence text\n")
+    (d / "c.zip").write_bytes(b"PK license")
+    (d / "r.docx").write_bytes(_docx(["see the license file"]))
+    sink = str(tmp_path / "texts")
+    ingest.write_texts(ingest.ingest_files(spark, str(d), codecs={".docx": docx_text}), sink)
+    texts = spark.read.parquet(sink)
+    hits = sorted((r.out_name, r.line_no, r.line) for r in
+                  exact_search_texts(texts, "license", ["out_name"], "text").collect())
+    assert hits == [("a (MD).txt", 2, "This LICENSE applies"), ("r (DOCX).txt", 1, "see the license file")]
+    from tests.brute import fuzzy_hits
+    close = sorted((r.out_name, r.line_no, r.matched_token) for r in
+                   fuzzy_search(lines_of(texts, ["out_name"], "text"), "license", ["out_name"]).collect())
+    want = sorted((r.out_name, h[0], h[2]) for r in texts.collect() for h in fuzzy_hits(r.text, "license", 0.85))
+    assert close == want and ("b (PY).txt", 1, "licence") in close
