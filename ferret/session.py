@@ -40,7 +40,10 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None, app: st
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder the session uses, making a private one only if none is set."""
+    """Return the checkpoint folder the session uses.
+
+    A private temporary folder is made only for a local master with nothing set
+    (tests, local runs); a cluster must name a shared folder."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -49,5 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
+    if not sc.master.startswith("local"):
+        # A machine-local folder is not shared between executors and driver.
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="ferret-ckpt-"))
     return sc.getCheckpointDir()
