@@ -274,18 +274,34 @@ def with_rank(df: DataFrame, order_cols, rank_col: str = "rank") -> DataFrame:
             .drop("_pid", "_mid", "_first", "_before"))
 
 
+# A binaryFile row holds the whole file: files above this size cannot be read.
+MAX_FILE_BYTES = (1 << 31) - 1
+CAUSE_TOO_LARGE = "XX The file has {length} bytes, more than one row can hold"
+
+
 def ingest_files(spark, path: str, codecs: dict | None = None, types=DEFAULT_TYPES,
-                 type_match: str = "member", existing: DataFrame | None = None) -> DataFrame:
+                 type_match: str = "member", existing: DataFrame | None = None,
+                 max_file_bytes: int = MAX_FILE_BYTES) -> DataFrame:
     """Convert every file directly in ``path``: path, name, ext, handler, status, message, out_name, text.
 
     One ``binaryFile`` scan; plain copies decode natively, codec rows go through
-    the registry in Arrow batches; a failing codec marks its row 'fail'.
+    the registry in Arrow batches; a failing codec marks its row 'fail'. Files
+    larger than ``max_file_bytes`` are kept as 'fail' rows without being read
+    (the size filter is pushed into the scan; they come from a content-free listing).
     """
     from ferret.sources.files import read_binary
 
-    files = classify(read_binary(spark, path), "name", types, type_match)
-    conv = convert(files, "name", "content", text_input=False, codecs=codecs)
-    named = name_outputs(conv, "name", existing)
+    small = read_binary(spark, path).filter(F.col("length") <= F.lit(max_file_bytes))
+    conv = convert(classify(small, "name", types, type_match), "name", "content", text_input=False, codecs=codecs)
+    big = classify(read_binary(spark, path, with_content=False)
+                   .filter(F.col("length") > F.lit(max_file_bytes)), "name", types, type_match)
+    big = (big.withColumn("status", F.when(F.col("handler") == "skip", "skip").otherwise("fail"))
+           .withColumn("text", F.lit(None).cast("string"))
+           .withColumn("message", F.when(F.col("status") == "skip", fill(MSG_SKIP, name=F.col("name")))
+                       .otherwise(fill(MSG_FAIL, cause=fill(CAUSE_TOO_LARGE, length=F.col("length")),
+                                       name=F.col("name")))))
+    cols = ["path", "name", "ext", "head", "label", "handler", "status", "message", "text"]
+    named = name_outputs(conv.select(*cols).unionByName(big.select(*cols)), "name", existing)
     return named.select("path", "name", "ext", "handler", "status", "message", "out_name", "text")
 
 

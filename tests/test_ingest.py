@@ -97,3 +97,16 @@ def test_convert_then_search_files(spark, tmp_path):
                    fuzzy_search(lines_of(texts, ["out_name"], "text"), "license", ["out_name"]).collect())
     want = sorted((r.out_name, h[0], h[2]) for r in texts.collect() for h in fuzzy_hits(r.text, "license", 0.85))
     assert close == want and ("b (PY).txt", 1, "licence") in close
+
+
+def test_oversized_files_are_kept_as_failures(spark, tmp_path):
+    d = tmp_path / "big"
+    d.mkdir()
+    (d / "huge.md").write_bytes(b"x" * 5000)
+    (d / "small.md").write_bytes(b"fine\n")
+    (d / "huge.bin").write_bytes(b"y" * 5000)
+    rows = {r.name: r for r in ingest.ingest_files(spark, str(d), max_file_bytes=1000).collect()}
+    assert rows["small.md"].status == "unsure" and rows["small.md"].text == "fine\n"
+    assert rows["huge.md"].status == "fail" and rows["huge.md"].text is None
+    assert rows["huge.md"].message.startswith("XX The file has 5000 bytes")
+    assert rows["huge.bin"].status == "skip"
