@@ -39,6 +39,16 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None, app: st
     return spark
 
 
+def get_session(app: str = "ferret") -> SparkSession:
+    """The session for a job: the cluster's master when submitted, local otherwise."""
+    b = SparkSession.builder.appName(app)
+    for k, v in DEFAULTS.items():
+        b = b.config(k, v)
+    spark = b.getOrCreate()
+    ensure_checkpoint_dir(spark)
+    return spark
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder the session uses.
 
