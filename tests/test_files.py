@@ -101,3 +101,22 @@ def test_binary_listing_prunes_content(spark, corpus):
     assert "content" not in plan.split("ReadSchema")[-1].split("\n")[0]
     names = {r.name for r in df.collect()}
     assert "a.txt" in names and "empty.txt" not in names  # zero-byte files are not returned
+
+
+def test_bad_byte_in_a_later_split_drops_the_whole_file(spark, tmp_path):
+    d = tmp_path / "split_bad"
+    d.mkdir()
+    good = "".join(f"row {i} of a long file\n" for i in range(1, 8001)).encode()
+    (d / "big.txt").write_bytes(good + b"tail \xff here\n")
+    (d / "ok.txt").write_bytes(b"fine\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(32 * 1024))
+    try:
+        kept = {r.file for r in read_lines(spark, str(d), mode="DROPMALFORMED").collect()}
+        rows = read_lines(spark, str(d)).filter("file = 'big.txt'").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert kept == {"ok.txt"}
+    assert len(rows) == 8001
+    last = max(rows, key=lambda r: r.line_no)
+    assert (last.line_no, last.line) == (8001, "tail � here")
