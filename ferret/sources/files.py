@@ -3,8 +3,9 @@ source documents as binary rows for ingest.
 
 Line numbers for splittable text files
 --------------------------------------
-A large file is read by many tasks (one per split), so a task cannot know how
-many lines precede its split. Each line gets ``monotonically_increasing_id()``
+A file no larger than one split is read whole (one row) and split into lines in
+one pass. A larger file is read by many tasks (one per split), so a task cannot
+know how many lines precede its split. Each line gets ``monotonically_increasing_id()``
 right at the scan (consecutive inside a task); a small job gathers, per
 (file, split), the first id and the line count; a running sum over the splits
 of a file gives the lines before each split. Then
@@ -22,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ferret.functions.text import lines_of
 from ferret.session import ensure_checkpoint_dir
 
 MAX_BROADCAST_SPLITS = 2_000_000
@@ -34,18 +36,54 @@ def _text_scan(spark: SparkSession, path: str, glob: str) -> DataFrame:
     return spark.read.format("text").option("pathGlobFilter", glob).load(path)
 
 
+def _utf8(col, mode: str):
+    return F.validate_utf8(col) if mode == "FAILFAST" else F.make_valid_utf8(col)
+
+
 def read_lines(spark: SparkSession, path: str, glob: str = "*.txt", mode: str = "PERMISSIVE",
-               max_broadcast_splits: int = MAX_BROADCAST_SPLITS) -> DataFrame:
+               max_broadcast_splits: int = MAX_BROADCAST_SPLITS, whole_file_bytes: int | None = None) -> DataFrame:
     """Numbered lines of every file matching ``glob`` directly in ``path``.
 
     Columns: file (base name), path, line_no (1-based), line.
     ``mode`` for bad UTF-8: PERMISSIVE replaces bad bytes with U+FFFD,
     DROPMALFORMED drops every file with a bad line, FAILFAST raises.
+
+    Files up to ``whole_file_bytes`` (default: the split size,
+    ``spark.sql.files.maxPartitionBytes``) are read whole, one row each, and split
+    into lines in one pass. Larger files keep their splits and get the two-pass
+    numbering. The size test prunes files before any byte is read.
     """
     mode = mode.upper()
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    base = _text_scan(spark, path, glob).select(
+    if whole_file_bytes is None:
+        whole_file_bytes = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    size = F.col("_metadata.file_size")
+    small = (spark.read.format("text").option("pathGlobFilter", glob).option("wholetext", "true").load(path)
+             .filter(size <= F.lit(whole_file_bytes))
+             .select(F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_path").alias("path"),
+                     F.col("value").alias("_raw")))
+    if mode == "DROPMALFORMED":
+        small = small.filter(F.is_valid_utf8("_raw"))
+    # UTF-8 is checked on the raw bytes first (a regex would silently repair them);
+    # then a leading byte-order mark is dropped, as the line reader does.
+    text = F.regexp_replace(_utf8(F.col("_raw"), mode), "^\uFEFF", "")
+    small_lines = lines_of(small.select("file", "path", text.alias("text")), ["file", "path"], "text")
+    large_lines = _split_lines(spark, _text_scan(spark, path, glob).filter(size > F.lit(whole_file_bytes)),
+                               mode, max_broadcast_splits)
+    return small_lines.unionByName(large_lines)
+
+
+def _bytes(v: str) -> int:
+    v = str(v).strip().lower()
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    v = v[:-1] if v.endswith("b") else v
+    return int(float(v[:-1]) * units[v[-1]]) if v and v[-1] in units else int(v)
+
+
+def _split_lines(spark: SparkSession, scan: DataFrame, mode: str, max_broadcast_splits: int) -> DataFrame:
+    """Two-pass numbering of lines read split by split (see the module notes)."""
+    base = scan.select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_name").alias("file"),
         F.col("_metadata.file_block_start").alias("_block"),
@@ -66,13 +104,9 @@ def read_lines(spark: SparkSession, path: str, glob: str = "*.txt", mode: str =
     lines = base.join(side, ["path", "_block"])
     if mode == "DROPMALFORMED":
         lines = lines.filter(F.col("_file_valid") == 1)
-    if mode == "FAILFAST":
-        line = F.validate_utf8("value")
-    else:
-        line = F.make_valid_utf8("value")
     return lines.select("file", "path",
                         (F.col("_mid") - F.col("_first") + F.col("_before") + 1).cast("bigint").alias("line_no"),
-                        line.alias("line"))
+                        _utf8(F.col("value"), mode).alias("line"))
 
 
 def read_texts(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame:

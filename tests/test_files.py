@@ -120,3 +120,10 @@ def test_bad_byte_in_a_later_split_drops_the_whole_file(spark, tmp_path):
     assert len(rows) == 8001
     last = max(rows, key=lambda r: r.line_no)
     assert (last.line_no, last.line) == (8001, "tail � here")
+
+
+def test_whole_file_and_split_paths_agree(spark, corpus):
+    for mode in ("PERMISSIVE", "DROPMALFORMED"):
+        whole = sorted(tuple(r) for r in read_lines(spark, corpus, mode=mode, whole_file_bytes=1 << 30).collect())
+        split = sorted(tuple(r) for r in read_lines(spark, corpus, mode=mode, whole_file_bytes=-1).collect())
+        assert whole == split and len(whole) > 5, mode
