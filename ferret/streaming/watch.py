@@ -24,8 +24,9 @@ def stream_lines(spark: SparkSession, path: str, glob: str = "*.txt", max_files_
     r = (spark.readStream.format("text").option("wholetext", "true").option("pathGlobFilter", glob))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    # same text rules as the batch reader: bad bytes replaced, a leading BOM dropped
     texts = r.load(path).select(F.col("_metadata.file_name").alias("file"),
-                                F.make_valid_utf8("value").alias("text"))
+                                F.regexp_replace(F.make_valid_utf8("value"), "^\uFEFF", "").alias("text"))
     return lines_of(texts, ["file"], "text")
 
 

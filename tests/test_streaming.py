@@ -12,6 +12,7 @@ def test_stream_equals_batch(spark, tmp_path):
     src.mkdir()
     (src / "a.txt").write_text("The license is here\nnothing\nLicensed work\n")
     (src / "b.txt").write_text("no match\r\nmore license text\r\n")
+    (src / "c.txt").write_bytes(b"\xef\xbb\xbflicense on the first line\n")
     for method in ("exact", "fuzzy"):
         name = f"mem_{method}"
         q = (search_stream(spark, str(src), "license", method).writeStream.format("memory")
