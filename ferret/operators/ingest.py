@@ -33,8 +33,8 @@ DEFAULT_TYPES = (
     ".c", ".C", ".cs", ".c++", ".cc", ".cpp", ".cxx",
     ".lisp", ".go", ".hs",
 )
-# Extensions with their own converter.
-CODEC_EXTS = (".docx", ".pdf")
+# Extensions with their own converter, and the handler name used for each.
+CODEC_HANDLERS = {".docx": "docx", ".pdf": "pdf"}
 # Status messages: {name} source name, {ext} its extension, {cause} why it failed.
 MSG_SUCCESS = "## Successfully converted {name}"
 MSG_FAIL = "{cause}\n|| Failed to convert {name}"
@@ -102,10 +102,9 @@ def classify(files: DataFrame, name_col: str = "name", types=DEFAULT_TYPES,
         extra = F.instr(F.lit(str(types)), F.col("ext")) > 0
     else:
         raise ValueError("type_match must be 'member' or 'substring'")
-    handler = (F.when(F.col("ext") == ".docx", "docx")
-               .when(F.col("ext") == ".pdf", "pdf")
-               .when(extra, "plain")
-               .otherwise("skip"))
+    handler = F.when(extra, "plain").otherwise("skip")
+    for e, name in reversed(list(CODEC_HANDLERS.items())):
+        handler = F.when(F.col("ext") == e, name).otherwise(handler)
     return out.withColumn("handler", handler)
 
 
@@ -150,7 +149,7 @@ def convert(classified: DataFrame, name_col: str = "name", content_col: str = "c
     raw = F.col(content_col)
     decoded = raw if text_input else F.make_valid_utf8(raw.cast("string"))
     plain_text = normalize_newlines(decoded)
-    is_codec = h.isin("docx", "pdf")
+    is_codec = h.isin(*CODEC_HANDLERS.values())
     has_codec = F.col("ext").isin(list(codecs)) if codecs else F.lit(False)
     df = classified
     if codecs:
@@ -244,8 +243,10 @@ def inventory(files: DataFrame, name_col: str = "name", types=DEFAULT_TYPES,
     """
     ext = file_ext(F.col(name_col))
     is_dir = F.col(is_dir_col) if is_dir_col else F.lit(False)
-    klass = (F.when(ext == ".txt", "text").when(ext == ".docx", "docx").when(ext == ".pdf", "pdf")
-             .when(ext.isin(list(types)), "extra").when(is_dir, "directory").otherwise("other"))
+    klass = F.when(ext == ".txt", "text")
+    for e, name in CODEC_HANDLERS.items():
+        klass = klass.when(ext == e, name)
+    klass = (klass.when(ext.isin(list(types)), "extra").when(is_dir, "directory").otherwise("other"))
     listing = files.select(F.col(name_col), klass.alias("type_class"))
     return with_rank(listing, [F.lower(F.col(name_col)), F.col(name_col)])
 
