@@ -310,3 +310,32 @@ def write_texts(converted: DataFrame, out_path: str, mode: str = "errorifexists"
     """Sink: the converted texts as a Parquet table (out_name, text), searchable directly."""
     (converted.filter(F.col("status").isin("success", "unsure"))
      .select("out_name", "text").write.mode(mode).parquet(out_path))
+
+
+MAX_BROADCAST_FILES = 1_000_000
+
+
+def convert_plain_lines(spark, path: str, types=DEFAULT_TYPES, type_match: str = "member",
+                        existing: DataFrame | None = None, mode: str = "PERMISSIVE",
+                        max_broadcast_files: int = MAX_BROADCAST_FILES) -> DataFrame:
+    """Plain copies as numbered lines: out_name, line_no, line (no per-file size limit).
+
+    The same conversion as the plain handler, but read through the split-safe line
+    reader instead of one row per file, so a file of any size converts and the
+    result is searchable without splitting texts again. Output names come from the
+    content-free listing; the (file -> name) table is broadcast under a measured
+    bound, joined by shuffle beyond it.
+    """
+    from ferret.sources.files import read_binary, read_lines
+
+    listing = classify(read_binary(spark, path, with_content=False), "name", types, type_match)
+    plain = (listing.filter(F.col("handler") == "plain")
+             .withColumn("status", F.lit("unsure")))
+    names = name_outputs(plain, "name", existing).select("path", "out_name").checkpoint(eager=True)
+    if type_match == "member" and types:
+        glob = "*{" + ",".join(sorted(set(types))) + "}"
+    else:
+        glob = "*"  # substring matching admits names a glob cannot say; the join selects
+    lines = read_lines(spark, path, glob=glob, mode=mode)
+    side = F.broadcast(names) if names.count() <= max_broadcast_files else names
+    return lines.join(side, "path").select("out_name", "line_no", "line")

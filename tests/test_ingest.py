@@ -110,3 +110,24 @@ def test_oversized_files_are_kept_as_failures(spark, tmp_path):
     assert rows["huge.md"].status == "fail" and rows["huge.md"].text is None
     assert rows["huge.md"].message.startswith("XX The file has 5000 bytes")
     assert rows["huge.bin"].status == "skip"
+
+
+def test_plain_lines_equal_whole_text_conversion(spark, tmp_path):
+    from ferret.functions.text import lines_of
+    d = tmp_path / "plain"
+    d.mkdir()
+    (d / "a.md").write_bytes(b"one\r\ntwo\rthree\n")
+    (d / "a.MD").write_bytes(b"upper\n")
+    (d / "b.c").write_bytes("".join(f"line {i}\n" for i in range(3000)).encode())
+    (d / "c.C").write_bytes(b"x\ny")
+    (d / "skip.bin").write_bytes(b"\x00\x01")
+    (d / "r.docx").write_bytes(b"not converted here")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(8 * 1024))  # b.c takes the split path
+    try:
+        got = sorted(tuple(r) for r in ingest.convert_plain_lines(spark, str(d)).collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    whole = ingest.ingest_files(spark, str(d)).filter("status = 'unsure'")
+    want = sorted(tuple(r) for r in lines_of(whole, ["out_name"], "text").collect())
+    assert got == want and len(got) == 3 + 3000 + 2  # a.MD is skipped: types are case-sensitive
