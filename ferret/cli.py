@@ -2,7 +2,7 @@
 
     python -m ferret search --dir CORPUS --query license [--query ...] [--fuzzy --cutoff 0.85] --out HITS
     python -m ferret search --table docs.parquet --key doc_id --text text --queries-file q.txt --out HITS
-    python -m ferret convert --src INBOX --out CONVERTED [--types-file T] [--substring-types] [--verbose]
+    python -m ferret convert --src INBOX --out CONVERTED [--types-file T] [--substring-types] [--verbose] [--lines]
 
 Hits and conversions are written as Parquet to ``--out``; only small summaries (one
 row per query, the four status counts) come back to the driver for printing. A
@@ -43,6 +43,8 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--types-file", help="extra-type list file")
     c.add_argument("--substring-types", action="store_true", help="match extensions as substrings of the list")
     c.add_argument("--verbose", action="store_true", help="print only the non-zero counts, one per line")
+    c.add_argument("--lines", action="store_true",
+                   help="also write plain copies as numbered lines to OUT_lines (any file size)")
     return p
 
 
@@ -94,6 +96,10 @@ def run_convert(spark: SparkSession, args):
     out = ingest.ingest_files(spark, args.src, types=types,
                               type_match="substring" if args.substring_types else "member")
     out.write.mode("errorifexists").parquet(args.out)
+    if args.lines:
+        ingest.convert_plain_lines(spark, args.src, types=types,
+                                   type_match="substring" if args.substring_types else "member") \
+            .write.mode("errorifexists").parquet(args.out + "_lines")
     return ingest.report(spark.read.parquet(args.out)).first().asDict()
 
 

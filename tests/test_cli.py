@@ -32,3 +32,14 @@ def test_search_folder(spark, tmp_path, capsys):
     assert capsys.readouterr().out.strip() == "1\tlicense"
     r = spark.read.parquet(out).first()
     assert (r.file, r.line_no, r.matched_token) == ("x.txt", 1, "licence")
+
+
+def test_convert_with_lines(spark, tmp_path, capsys):
+    src = tmp_path / "in3"
+    src.mkdir()
+    (src / "n.md").write_bytes(b"alpha\r\nbeta\n")
+    out = str(tmp_path / "c3")
+    main(["convert", "--src", str(src), "--out", out, "--lines", "--verbose"], spark=spark)
+    assert capsys.readouterr().out.strip() == "unsure\t1"
+    rows = sorted(tuple(r) for r in spark.read.parquet(out + "_lines").collect())
+    assert rows == [("n (MD).txt", 1, "alpha"), ("n (MD).txt", 2, "beta")]
