@@ -113,9 +113,12 @@ def q_tokens(spark, sf_dir):
           f"WITH {O.lines_cte('documents', ['doc_id'], 'text')}, {O.tokens_cte()} "
           f"SELECT token, count(*) AS occurrences, count(DISTINCT doc_id) AS docs FROM tokens GROUP BY token")
 def q_vocabulary(spark, sf_dir):
+    from ferret.functions.text import words_of
     from ferret.operators.fuzzy import vocabulary
-    lines, keys = corpus_lines(spark, sf_dir, "documents")
-    return vocabulary(tokens_of(lines, keys + ["line_no"]), keys)
+    # No line numbers are needed and line breaks are whitespace, so the words of a
+    # whole text are the words of its lines: split the texts directly.
+    df, keys, text = read_corpus(spark, sf_dir, "documents")
+    return vocabulary(df.select(*keys, F.explode(words_of(text)).alias("token")), keys)
 
 
 # ---------------------------------------------------------------- fuzzy search (P3, P5, P6, F1-F6)
