@@ -353,5 +353,8 @@ def q_exact_multi_query_trigram(spark, sf_dir):
           f"{O.fuzzy_many_ctes(0.85)} SELECT query_id, doc_id, line_no, line, matched_token, select_score, "
           f"confidence FROM best")
 def q_fuzzy_multi_query(spark, sf_dir):
-    lines, keys = corpus_lines(spark, sf_dir, "documents")
-    return multi.fuzzy_search_many(lines, benchmark_queries(spark, sf_dir), keys, 0.85)
+    from ferret.functions.text import words_of
+    df, keys, text = read_corpus(spark, sf_dir, "documents")
+    vocab = df.select(F.explode(words_of(text)).alias("token"))
+    return multi.fuzzy_search_many(lines_of(df, keys, text), benchmark_queries(spark, sf_dir), keys, 0.85,
+                                   vocab=vocab)
