@@ -198,12 +198,12 @@ def fit(docs: DataFrame, labels: DataFrame, unseen, label: str = "toxic", rows:
     return model
 
 
-def scored(docs: DataFrame, model: Model, keep=None) -> DataFrame:
-    """Every row of ``docs`` with the columns ``score`` and ``passages`` (token positions,
-    score and E of each maximal segment). ``keep``: columns to carry (default all; none
-    may be named score or passages). Null or empty texts have no passage and the
+def scored(docs: DataFrame, model: Model, keep=None, names=("score", "passages")) -> DataFrame:
+    """Every row of ``docs`` with the columns ``names``: score and passages (word positions,
+    score and E of each maximal segment). ``keep``: columns to carry (default all); one
+    that is named like a new column is left out, so choose other names to keep it. Null or empty texts have no passage and the
     curve's score at zero. Narrow: a row is judged alone."""
-    keep = [c for c in docs.columns if c not in ("score", "passages")] if keep is None else list(keep)
+    keep = [c for c in docs.columns if c not in names] if keep is None else list(keep)
     if "text" not in keep:
         keep.append("text")
     rows = docs.select(*keep)
@@ -217,8 +217,8 @@ def scored(docs: DataFrame, model: Model, keep=None) -> DataFrame:
                       for p, q, s in f] for i, f in enumerate(found)]
             kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64()), ("evalue", pa.float64())]))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(sigmoid(x @ np.array(model.curve))), pa.array(spans, kind)],
-                                             [*keep, "score", "passages"])
+                                             [*keep, *names])
 
     from pyspark.sql import types as T
-    schema = T.StructType(list(rows.schema.fields) + T._parse_datatype_string(f"score double, passages {PASSAGE}").fields)
+    schema = T.StructType(list(rows.schema.fields) + T._parse_datatype_string(f"`{names[0]}` double, `{names[1]}` {PASSAGE}").fields)
     return rows.mapInArrow(run, schema)
