@@ -68,13 +68,13 @@ QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_quality_classifier, op3_license_scan, op4_quality_rules, op5_html_extraction,
     op6_substring_dedup, op7_toxicity, op8_best_fit_packing, op9_brown_lm, op10_simhash)}
 
-_WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '')"
+_WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
 SQL = {
     "op4_quality_rules": rf"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS words,
-    list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM documents),
 spans AS (
   SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, words[p], words[p + 1], words[p + 2]) AS n
@@ -90,8 +90,8 @@ c AS (
     CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
     length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) AS upper_case,
     length(text) - length(regexp_replace(text, '[!?]', '', 'g')) AS marks,
-    len(list_filter(words, w -> regexp_matches(w, '\pL'))) AS lettered, len(list_distinct(words)) AS kinds,
-    len(list_filter(lines, l -> regexp_matches(ltrim(l), '^[-*•]'))) AS bullets
+    len(list_filter(words, lambda w: regexp_matches(w, '\pL'))) AS lettered, len(list_distinct(words)) AS kinds,
+    len(list_filter(lines, lambda l: regexp_matches(ltrim(l), '^[-*•]'))) AS bullets
   FROM d LEFT JOIN again USING (doc_id)),
 j AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM c)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
