@@ -28,32 +28,78 @@ from pyspark.sql import functions as F
 from ferret.llm.common import checkpointed, slices
 
 CAPACITY = 2048
-GROUP = 20_000
-#: Entries of the memo of words' ids in a task; it is emptied when full.
-MEMO = 400_000
+GROUP = 4_000
+#: Words whose ids a worker remembers; it forgets all before the next slice when there are more.
+MEMO = 600_000
 
 
 def _encoder(path: str | None, memo: int = MEMO):
-    """Function: text -> its ids as little-endian unsigned 32-bit bytes. The tokenizer
-    never joins across white space, so each blank-separated word is encoded once."""
+    """Function: texts -> their ids as little-endian unsigned 32-bit bytes. The tokenizer
+    never joins across white space, nor a letter with a full stop or comma after it, and
+    takes ASCII words in lower case: each such unit is encoded once. Units of letters
+    alone are encoded many at a time; each ends at the one id that closes a word."""
     import public_tokenizers
-    from tokenizers import Tokenizer
+    from tokenizers import Tokenizer, pre_tokenizers
 
-    tok = Tokenizer.from_file(path or public_tokenizers.path("word_bpe_49k.json"))
+    path = path or public_tokenizers.path("word_bpe_49k.json")
+    tok = Tokenizer.from_file(path)
     tok.encode_special_tokens = True
+    # lower-case ASCII letters need neither normal form nor the rules that split words
+    plain = Tokenizer.from_file(path)
+    plain.normalizer = None
+    plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    closes = np.zeros(tok.get_vocab_size() + 1, bool)
+    closes[[i for t, i in tok.get_vocab().items() if t.endswith("</w>")]] = True
     known: dict = {}
 
+    def raw(unit):
+        return np.array(tok.encode(unit, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def together(units, by):
+        out: dict = {}
+        for i in range(0, len(units), 20_000):
+            part = units[i:i + 20_000]
+            texts = [" ".join(part[j:j + 200]) for j in range(0, len(part), 200)]
+            ids = np.concatenate([np.array(e.ids, "<u4") for e in by.encode_batch_fast(texts, add_special_tokens=False)])
+            cut = (4 * (np.flatnonzero(closes[ids]) + 1)).tolist()
+            if len(cut) != len(part):  # a letter whose lower case is no letter
+                out.update((t, raw(t)) for t in part)
+                continue
+            ids = ids.tobytes()
+            out.update(zip(part, map(ids.__getitem__, map(slice, [0, *cut[:-1]], cut))))
+        return out
+
+    marks = {m: raw(m) for m in ".,"}
+
+    def learn(words):
+        core, end, ascii_units, units, others = [], [], set(), set(), set()
+        words = list(words)
+        for w in words:
+            t = w.decode()
+            low = t.isascii()
+            if low:
+                t = t.lower()
+            if t[-1] in marks and t[-2:-1].isalpha():
+                end.append(marks[t[-1]])
+                t = t[:-1]
+            else:
+                end.append(b"")
+            core.append(t)
+            (others if not t.isalpha() else ascii_units if low else units).add(t)
+        ids = together(list(ascii_units), plain) | together(list(units), tok) | {t: raw(t) for t in others}
+        known.update(zip(words, map(bytes.__add__, map(ids.__getitem__, core), end)))
+
     def encode(texts):
-        words = [(t or "").encode().split() for t in texts]
-        new = list(set().union(*words).difference(known))
-        if len(known) + len(new) > memo:
+        if len(known) > memo:
             known.clear()
-            new = list(set().union(*words))
-        for i in range(0, len(new), 50_000):
-            part = new[i:i + 50_000]
-            for w, e in zip(part, tok.encode_batch([w.decode() for w in part], add_special_tokens=False)):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join(map(known.__getitem__, w)) for w in words]
+        words = [(t or "").encode().split() for t in texts]
+        found = [list(map(known.get, w)) for w in words]
+        new = [[k for k, i in enumerate(f) if i is None] for f in found]
+        learn({w[k] for w, at in zip(words, new) for k in at})
+        for w, f, at in zip(words, found, new):
+            for k in at:
+                f[k] = known[w[k]]
+        return [b"".join(f) for f in found]
 
     return encode
 
@@ -63,10 +109,16 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
     pieces of ``capacity``. Null text counts as empty. Narrow. ``tokenizer``: a file of
     the `tokenizers` library whose rules never join across white space, on every node."""
     def run(batches):
+        import gc
         import os
+        import sys
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encode, end, most = _encoder(tokenizer), np.uint32(end_id).astype("<u4").tobytes(), 4 * capacity
+        # reused workers keep the words they know from task to task
+        memo = sys.modules.setdefault("_ferret_words", type(sys)("_ferret_words")).__dict__
+        encode = memo.get(tokenizer) or memo.setdefault(tokenizer, _encoder(tokenizer))
+        gc.freeze()  # the memo holds no cycles
+        end, most = np.uint32(end_id).astype("<u4").tobytes(), 4 * capacity
         for b in slices(batches, 1):
             cols = [[], [], [], [], []]
             for i, ids in zip(b.column(0).to_pylist(), encode(b.column(1).to_pylist())):
