@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ferret.session import ensure_checkpoint_dir
 
 #: Text bytes handled at once inside a task; one longer document is handled alone.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 #: A key table is broadcast only below this many bytes (its rows are counted first).
 BROADCAST_BYTES = 32 << 20
 

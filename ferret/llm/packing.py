@@ -30,7 +30,7 @@ from ferret.llm.common import checkpointed, slices
 CAPACITY = 2048
 GROUP = 4_000
 #: Words whose ids a worker remembers; it forgets all before the next slice when there are more.
-MEMO = 600_000
+MEMO = 300_000
 
 
 def _encoder(path: str | None, memo: int = MEMO):
