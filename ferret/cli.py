@@ -12,14 +12,15 @@ converted table is searchable as is: ``search --table CONVERTED --key out_name``
 from __future__ import annotations
 
 import argparse
+import importlib
 import sys
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 
-# Per-query totals are printed up to this many queries, written to a table beyond.
-MAX_PRINTED_QUERIES = 1000
+# Queries whose totals are printed; the table OUT_totals has all of them.
+PRINTED = 20
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -40,6 +41,8 @@ def _parser() -> argparse.ArgumentParser:
     c = sub.add_parser("convert", help="convert a folder of documents to a Parquet text table")
     c.add_argument("--src", required=True)
     c.add_argument("--out", required=True)
+    c.add_argument("--append", action="store_true", help="add to a table that exists; its names are kept clear of")
+    c.add_argument("--codec", action="append", default=[], help=".ext=module:function, bytes to text (repeatable)")
     c.add_argument("--types-file", help="extra-type list file")
     c.add_argument("--substring-types", action="store_true", help="match extensions as substrings of the list")
     c.add_argument("--verbose", action="store_true", help="print only the non-zero counts, one per line")
@@ -79,11 +82,20 @@ def run_search(spark: SparkSession, args) -> list:
     hits.write.mode("errorifexists").parquet(args.out)
     totals = (queries.join(spark.read.parquet(args.out).groupBy("query_id").count(), "query_id", "left")
               .select("query_id", "query", F.coalesce("count", F.lit(0)).alias("hits")))
-    if queries.count() > MAX_PRINTED_QUERIES:
-        totals.write.mode("errorifexists").parquet(args.out + "_totals")
-        return [(f"(per-query totals in {args.out}_totals)",
-                 spark.read.parquet(args.out + "_totals").agg(F.sum("hits")).first()[0])]
-    return [(r.query, r.hits) for r in totals.orderBy("query_id").collect()]
+    totals.write.mode("errorifexists").parquet(args.out + "_totals")
+    return [(r.query, r.hits) for r in spark.read.parquet(args.out + "_totals").orderBy("query_id").limit(PRINTED).collect()]
+
+
+def _codecs(entries) -> dict:
+    """{'.ext': function} of entries '.ext=module:function' (bytes to text)."""
+    out = {}
+    for entry in entries:
+        ext, _, place = entry.partition("=")
+        module, _, name = place.partition(":")
+        if not (ext.startswith(".") and module and name):
+            raise SystemExit(f"--codec wants .ext=module:function, got {entry!r}")
+        out[ext] = getattr(importlib.import_module(module), name)
+    return out
 
 
 def run_convert(spark: SparkSession, args):
@@ -93,9 +105,14 @@ def run_convert(spark: SparkSession, args):
     types = ingest.DEFAULT_TYPES
     if args.types_file:
         types = tuple(r.ext for r in read_type_list(spark, args.types_file).collect())  # a short list
-    out = ingest.ingest_files(spark, args.src, types=types,
+    existing = spark.read.parquet(args.out).select("out_name").where("out_name is not null") if args.append else None
+    if existing is not None:  # read before the target changes
+        from ferret.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(spark)
+        existing = existing.checkpoint(eager=True)
+    out = ingest.ingest_files(spark, args.src, codecs=_codecs(args.codec), types=types, existing=existing,
                               type_match="substring" if args.substring_types else "member")
-    out.write.mode("errorifexists").parquet(args.out)
+    out.write.mode("append" if args.append else "errorifexists").parquet(args.out)
     if args.lines:
         ingest.convert_plain_lines(spark, args.src, types=types,
                                    type_match="substring" if args.substring_types else "member") \

@@ -21,10 +21,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Above this many distinct query characters the unrolled character bound gets
-# long; the length bound alone then guards the UDF.
-MAX_BOUND_CHARS = 200
-
 # Per-task memo of computed scores; bounded so a Python worker stays small
 # (about 40 MB at the limit) whatever the vocabulary.
 MEMO_LIMIT = 250_000
@@ -48,10 +44,15 @@ def length_bound(tok: Column, qlen: int) -> Column:
 
 
 def char_overlap(tok: Column, q: str) -> Column:
-    """Size of the multiset intersection of the characters of ``tok`` and ``q``."""
+    """Size of the multiset intersection of the characters of ``tok`` and ``q``. The
+    characters are an array, so a long query does not lengthen the plan."""
+    counts = F.array(*[F.struct(F.lit(c).alias("c"), F.lit(n).alias("k")) for c, n in sorted(Counter(q).items())]) \
+        if len(set(q)) > 64 else None
     lt = F.length(tok)
-    terms = [F.least(F.lit(n), lt - F.length(F.replace(tok, F.lit(c), F.lit(""))))
-             for c, n in sorted(Counter(q).items())]
+    if counts is not None:
+        return F.aggregate(counts, F.lit(0), lambda acc, x: acc + F.least(
+            x["k"], lt - F.length(F.replace(tok, x["c"], F.lit("")))))
+    terms = [F.least(F.lit(n), lt - F.length(F.replace(tok, F.lit(c), F.lit("")))) for c, n in sorted(Counter(q).items())]
     total = terms[0]
     for t in terms[1:]:
         total = total + t
@@ -64,10 +65,7 @@ def char_bound(tok: Column, q: str) -> Column:
 
 def bounds_pass(tok: Column, q: str, cutoff: float) -> Column:
     """Both bounds as one predicate; the length test comes first and is cheap."""
-    cond = length_bound(tok, len(q)) >= F.lit(cutoff)
-    if len(set(q)) <= MAX_BOUND_CHARS:
-        cond = cond & (char_bound(tok, q) >= F.lit(cutoff))
-    return cond
+    return (length_bound(tok, len(q)) >= F.lit(cutoff)) & (char_bound(tok, q) >= F.lit(cutoff))
 
 
 def score_udf(query: str):

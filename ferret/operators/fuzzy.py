@@ -37,18 +37,22 @@ def scored(cands: DataFrame, query: str, cutoff: float = DEFAULT_CUTOFF) -> Data
             .filter(F.col("select_score") >= F.lit(cutoff)))
 
 
+def with_best_word(lines: DataFrame, query: str, cutoff: float, line_col: str = "line", keep=None) -> DataFrame:
+    """Lines that have a candidate word (or meet ``keep``) with ``_b``, their best word or nulls."""
+    q = check_query(query).lower()
+    cutoff = check_cutoff(cutoff)
+    cands = F.filter(words_of(line_col), lambda t: bounds_pass(t, q, cutoff))
+    some = F.size("_c") > 0
+    found = lines.withColumn("_c", cands).filter(some if keep is None else some | keep)
+    return found.withColumn("_b", best_word_udf(query, cutoff).asNondeterministic()(F.col("_c"))).drop("_c")
+
+
 def fuzzy_search(lines: DataFrame, query: str, key_cols, cutoff: float = DEFAULT_CUTOFF,
                  line_col: str = "line") -> DataFrame:
     """Hits: keys, line_no, stripped line, matched_token, select_score, confidence."""
     key_cols = list(key_cols)
-    q = check_query(query).lower()
-    cutoff = check_cutoff(cutoff)
-    cands = F.filter(words_of(line_col), lambda t: bounds_pass(t, q, cutoff))
-    with_cands = (lines.select(*key_cols, "line_no", F.col(line_col).alias("line"), cands.alias("_c"))
-                  .filter(F.size("_c") > 0))
-    best = best_word_udf(query, cutoff).asNondeterministic()(F.col("_c"))
-    return (with_cands.select(*key_cols, "line_no", "line", best.alias("_b"))
-            .filter(F.col("_b.matched_token").isNotNull())
+    found = with_best_word(lines.select(*key_cols, "line_no", F.col(line_col).alias("line")), query, cutoff)
+    return (found.filter(F.col("_b.matched_token").isNotNull())
             .select(*key_cols, "line_no", strip_ws("line").alias("line"),
                     F.col("_b.matched_token").alias("matched_token"),
                     F.col("_b.select_score").alias("select_score"),
@@ -63,14 +67,18 @@ def fuzzy_scores(tokens: DataFrame, query: str, cutoff: float = DEFAULT_CUTOFF)
     return scored(words, query, cutoff)
 
 
-def vocabulary(tokens: DataFrame, key_cols) -> DataFrame:
-    """Distinct words with occurrence and document counts.
+def vocabulary(docs: DataFrame, text_col: str) -> DataFrame:
+    """Distinct words with occurrence and document counts; ``docs`` has one row per document.
 
-    Two hash aggregations, (word, document) then word, each with a partial
-    aggregate in the task; no Expand as a count-distinct would add.
+    A document's words are counted in its row (line breaks are whitespace, so whole
+    texts need no line split): its distinct words leave with how often the row holds
+    them, and one hash aggregation by word follows.
     """
-    per_doc = tokens.groupBy("token", *key_cols).agg(F.count(F.lit(1)).alias("_c"))
-    return per_doc.groupBy("token").agg(F.sum("_c").alias("occurrences"), F.count(F.lit(1)).alias("docs"))
+    words = F.array_sort(words_of(text_col))
+    run = docs.select(words.alias("_w")).select("_w", F.posexplode("_w").alias("_i", "token"))
+    first = run.select("token", (F.col("_i") == 0).alias("_a"), F.get("_w", F.col("_i") - 1).alias("_p"))
+    return (first.select("token", F.when(F.col("_a") | (F.col("_p") != F.col("token")), 1).otherwise(0).alias("_d"))
+            .groupBy("token").agg(F.count(F.lit(1)).alias("occurrences"), F.sum("_d").cast("bigint").alias("docs")))
 
 
 def format_confidence(col) -> F.Column:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ferret.functions.text import ext_label, file_ext, file_head
+from ferret.functions.text import WS_RUN, ext_label, file_ext, file_head
 
 # Fixed values (must equal the original tool's results).
 # Extra types copied as plain text, in their original order.
@@ -58,30 +58,10 @@ def fill(template: str, **cols) -> F.Column:
     return F.concat(*[p for i, p in enumerate(pieces) if i % 2 == 1 or parts[i] != ""])
 
 
-def default_types_text() -> str:
-    """A type-list file holding the default types (what a user would edit)."""
-    rows = [" ".join(DEFAULT_TYPES[i:i + 8]) for i in range(0, len(DEFAULT_TYPES), 8)]
-    return "# Extra file types converted as plain text; blank-separated, '#' starts a comment\n\n" + \
-        "\n".join(rows) + "\n"
-
-
-def parse_types(lines) -> tuple:
-    """Extra-type list: skip empty lines and lines starting with '#', split the rest on blanks."""
-    out = []
-    for line in lines:
-        if not line or line.startswith("#"):
-            continue
-        out.extend(line.split())
-    return tuple(out)
-
-
 def types_from_text(df: DataFrame) -> DataFrame:
     """The same parse as a Spark job over a text source (``value`` column): one row per type."""
     body = df.filter(~F.col("value").startswith("#") & (F.col("value") != ""))
-    return (body.select(F.explode(F.split(F.col("value"), r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}"
-                                                        r"\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}"
-                                                        r"\x{205f}\x{3000}]+")).alias("ext"))
-            .filter(F.col("ext") != ""))
+    return body.select(F.explode(F.split("value", WS_RUN)).alias("ext")).filter(F.col("ext") != "")
 
 
 def classify(files: DataFrame, name_col: str = "name", types=DEFAULT_TYPES,
@@ -175,47 +155,48 @@ def convert(classified: DataFrame, name_col: str = "name", content_col: str = "c
     return out.drop("_c")
 
 
-def _out_name(head, label, n):
-    return F.when(n == 0, fill(OUT_NAME, head=head, label=label)).otherwise(
-        fill(OUT_NAME_N, head=head, label=label, n=n))
+def _family(stem) -> F.Column:
+    """An output name without '.txt' and without trailing numbers: names can only meet
+    within one family, since a numbered name adds a number to a plain one."""
+    return F.regexp_replace(stem, r"( \([0-9]+\))+$", "")
 
 
-def name_outputs(converted: DataFrame, name_col: str = "name", existing: DataFrame | None = None) -> DataFrame:
-    """Adds out_name to rows that write output (status success/unsure), else null.
+def _assign_names(sources: pd.DataFrame, taken: pd.DataFrame) -> pd.DataFrame:
+    used, out = set(taken["out_name"]), []
+    for row in sources.sort_values("name", kind="stable").itertuples():
+        fields = {"head": row.head, "label": row.label}
+        name, n = OUT_NAME.format(**fields), 0
+        while name in used:
+            n += 1
+            name = OUT_NAME_N.format(n=n, **fields)
+        used.add(name)
+        out.append((row.name, name))
+    return pd.DataFrame(out, columns=["_name", "out_name"])
+
 
-    ``head (LABEL).txt``, then ``head (LABEL) (1).txt``, ...: within one
-    (head, label) group the k-th source by name takes the k-th smallest free
-    suffix. A group holds only the case spellings of one extension for one head,
-    so it stays small whatever the corpus size. ``existing`` (column ``out_name``)
-    lists names already taken in the target.
+def output_names(converted: DataFrame, name_col: str = "name", existing: DataFrame | None = None) -> DataFrame:
+    """(_name, out_name) of the rows that write output (status success/unsure).
+
+    ``head (LABEL).txt``, then ``head (LABEL) (1).txt``, ...: in name order each source takes
+    the first name that neither ``existing`` (column ``out_name``: names in the target) nor an
+    earlier source holds. Only names are read and shuffled. A group is a family of names, the
+    spellings of one head in one folder, so it stays small. ``name_col`` names a source once.
     """
-    writes = F.col("status").isin("success", "unsure")
-    ranked = converted.withColumn(
-        "_rank", F.when(writes, F.row_number().over(
-            Window.partitionBy(writes, "head", "label").orderBy(F.col(name_col))) - 1))
+    stem = F.concat(F.col("head"), F.lit(" ("), F.col("label"), F.lit(")"))
+    sources = (converted.filter(F.col("status").isin("success", "unsure"))
+               .select(F.col(name_col).alias("name"), "head", "label", _family(stem).alias("_family")))
     if existing is None:
-        return ranked.withColumn("out_name", F.when(writes, _out_name(F.col("head"), F.col("label"),
-                                                                     F.col("_rank")))).drop("_rank")
-    # Free suffixes per group: candidates 0 .. members + taken - 1, minus taken names.
-    # A taken name like "a (C) (2).txt" reads as (a, C, 2) or as (a (C), 2); it is
-    # counted for both readings, extra candidates cost nothing.
-    parses = []
-    for pat in (r"^(.*) \(([^()]*)\)(?: \((\d+)\))?\.txt$", r"^(.*?) \(([^()]*)\)(?: \((\d+)\))?\.txt$"):
-        parses.append(existing.select(F.col("out_name").alias("taken"))
-                      .filter(F.col("taken").rlike(pat))
-                      .select("taken", F.regexp_extract("taken", pat, 1).alias("head"),
-                              F.regexp_extract("taken", pat, 2).alias("label")))
-    taken_n = (parses[0].unionByName(parses[1]).distinct()
-               .groupBy("head", "label").agg(F.count(F.lit(1)).alias("_taken")))
-    groups = (ranked.filter(writes).groupBy("head", "label").agg(F.count(F.lit(1)).alias("_members"))
-              .join(taken_n, ["head", "label"], "left")
-              .select("head", "label", F.explode(F.sequence(
-                  F.lit(0), F.col("_members") + F.coalesce(F.col("_taken"), F.lit(0)) - 1)).alias("_n")))
-    cands = groups.withColumn("out_name", _out_name(F.col("head"), F.col("label"), F.col("_n")))
-    free = cands.join(existing.select("out_name"), "out_name", "left_anti")
-    free = free.withColumn("_rank", F.row_number().over(
-        Window.partitionBy("head", "label").orderBy("_n")) - 1).select("head", "label", "_rank", "out_name")
-    return ranked.join(free, ["head", "label", "_rank"], "left").drop("_rank")
+        existing = converted.sparkSession.createDataFrame([], "out_name string")
+    taken = existing.select("out_name", _family(F.regexp_replace("out_name", r"\.txt$", "")).alias("_family"))
+    return sources.groupBy("_family").cogroup(taken.groupBy("_family")).applyInPandas(
+        _assign_names, "_name string, out_name string")
+
+
+def name_outputs(converted: DataFrame, name_col: str = "name", existing: DataFrame | None = None) -> DataFrame:
+    """Adds out_name (see ``output_names``) to rows that write output, else null. Search
+    before naming where only hits matter: the join then carries no whole texts."""
+    names = output_names(converted, name_col, existing)
+    return converted.join(names, F.col(name_col) == F.col("_name"), "left").drop("_name")
 
 
 def report(converted: DataFrame) -> DataFrame:
@@ -286,9 +267,10 @@ def ingest_files(spark, path: str, codecs: dict | None = None, types=DEFAULT_TYP
     """Convert every file directly in ``path``: path, name, ext, handler, status, message, out_name, text.
 
     One ``binaryFile`` scan; plain copies decode natively, codec rows go through
-    the registry in Arrow batches; a failing codec marks its row 'fail'. Files
-    larger than ``max_file_bytes`` are kept as 'fail' rows without being read
-    (the size filter is pushed into the scan; they come from a content-free listing).
+    the registry in Arrow batches; a failing codec marks its row 'fail'. A file larger
+    than ``max_file_bytes`` does not fit a row and is not read here (the size filter is
+    pushed into the scan): a plain one has its usual status, message and name with null
+    text, and its lines come from ``convert_plain_lines``; one for a codec is a 'fail'.
     """
     from ferret.sources.files import read_binary
 
@@ -296,9 +278,11 @@ def ingest_files(spark, path: str, codecs: dict | None = None, types=DEFAULT_TYP
     conv = convert(classify(small, "name", types, type_match), "name", "content", text_input=False, codecs=codecs)
     big = classify(read_binary(spark, path, with_content=False)
                    .filter(F.col("length") > F.lit(max_file_bytes)), "name", types, type_match)
-    big = (big.withColumn("status", F.when(F.col("handler") == "skip", "skip").otherwise("fail"))
+    big = (big.withColumn("status", F.when(F.col("handler") == "skip", "skip")
+                          .when(F.col("handler") == "plain", "unsure").otherwise("fail"))
            .withColumn("text", F.lit(None).cast("string"))
            .withColumn("message", F.when(F.col("status") == "skip", fill(MSG_SKIP, name=F.col("name")))
+                       .when(F.col("status") == "unsure", fill(MSG_UNSURE, ext=F.col("ext"), name=F.col("name")))
                        .otherwise(fill(MSG_FAIL, cause=fill(CAUSE_TOO_LARGE, length=F.col("length")),
                                        name=F.col("name")))))
     cols = ["path", "name", "ext", "head", "label", "handler", "status", "message", "text"]
@@ -308,34 +292,28 @@ def ingest_files(spark, path: str, codecs: dict | None = None, types=DEFAULT_TYP
 
 def write_texts(converted: DataFrame, out_path: str, mode: str = "errorifexists") -> None:
     """Sink: the converted texts as a Parquet table (out_name, text), searchable directly."""
-    (converted.filter(F.col("status").isin("success", "unsure"))
+    (converted.filter(F.col("status").isin("success", "unsure") & F.col("text").isNotNull())
      .select("out_name", "text").write.mode(mode).parquet(out_path))
 
 
-MAX_BROADCAST_FILES = 1_000_000
-
-
 def convert_plain_lines(spark, path: str, types=DEFAULT_TYPES, type_match: str = "member",
-                        existing: DataFrame | None = None, mode: str = "PERMISSIVE",
-                        max_broadcast_files: int = MAX_BROADCAST_FILES) -> DataFrame:
+                        existing: DataFrame | None = None, mode: str = "PERMISSIVE") -> DataFrame:
     """Plain copies as numbered lines: out_name, line_no, line (no per-file size limit).
 
     The same conversion as the plain handler, but read through the split-safe line
     reader instead of one row per file, so a file of any size converts and the
     result is searchable without splitting texts again. Output names come from the
-    content-free listing; the (file -> name) table is broadcast under a measured
-    bound, joined by shuffle beyond it.
+    content-free listing, joined on the path as it is on disk.
     """
     from ferret.sources.files import read_binary, read_lines
 
     listing = classify(read_binary(spark, path, with_content=False), "name", types, type_match)
     plain = (listing.filter(F.col("handler") == "plain")
              .withColumn("status", F.lit("unsure")))
-    names = name_outputs(plain, "name", existing).select("path", "out_name").checkpoint(eager=True)
+    names = name_outputs(plain, "name", existing).select("path", "out_name")
     if type_match == "member" and types:
         glob = "*{" + ",".join(sorted(set(types))) + "}"
     else:
         glob = "*"  # substring matching admits names a glob cannot say; the join selects
     lines = read_lines(spark, path, glob=glob, mode=mode)
-    side = F.broadcast(names) if names.count() <= max_broadcast_files else names
-    return lines.join(side, "path").select("out_name", "line_no", "line")
+    return lines.join(names, "path").select("out_name", "line_no", "line")

@@ -113,12 +113,8 @@ def q_tokens(spark, sf_dir):
           f"WITH {O.lines_cte('documents', ['doc_id'], 'text')}, {O.tokens_cte()} "
           f"SELECT token, count(*) AS occurrences, count(DISTINCT doc_id) AS docs FROM tokens GROUP BY token")
 def q_vocabulary(spark, sf_dir):
-    from ferret.functions.text import words_of
-    from ferret.operators.fuzzy import vocabulary
-    # No line numbers are needed and line breaks are whitespace, so the words of a
-    # whole text are the words of its lines: split the texts directly.
-    df, keys, text = read_corpus(spark, sf_dir, "documents")
-    return vocabulary(df.select(*keys, F.explode(words_of(text)).alias("token")), keys)
+    df, _, text = read_corpus(spark, sf_dir, "documents")
+    return fuzzy.vocabulary(df, text)
 
 
 # ---------------------------------------------------------------- fuzzy search (P3, P5, P6, F1-F6)
@@ -221,9 +217,13 @@ def manifest(spark, sf_dir):
     return docs.select("doc_id", name.alias("file_name"), "text")
 
 
-def _converted(spark, sf_dir, type_match="member"):
+def _converted(spark, sf_dir, type_match="member", codecs=None):
     files = ingest.classify(manifest(spark, sf_dir), "file_name", type_match=type_match)
-    return ingest.convert(files, "file_name", "text", text_input=True)
+    return ingest.convert(files, "file_name", "text", text_input=True, codecs=codecs)
+
+
+# A registered decoder for the codec keys: the bytes as text after a mark.
+CODECS = {".docx": lambda blob: "# " + blob.decode()}
 
 
 _M = O.manifest_cte()
@@ -252,6 +252,18 @@ def q_conversion_messages(spark, sf_dir):
     return _converted(spark, sf_dir).select("doc_id", "file_name", "status", "message")
 
 
+_CODEC = O.converted_cte("classified", "file_name", "text", codec_exts=tuple(CODECS))
+
+
+@register("conversion_codec",
+          f"WITH {_M}, {_CLS}, {_CODEC}, {_NAMED} SELECT doc_id, file_name, status, message, out_name, "
+          f"length(out_text) AS chars FROM named")
+def q_conversion_codec(spark, sf_dir):
+    named = ingest.name_outputs(_converted(spark, sf_dir, codecs=CODECS), "file_name")
+    return named.select("doc_id", "file_name", "status", "message", "out_name",
+                        F.length("text").cast("bigint").alias("chars"))
+
+
 _REPORT_COLS = ", ".join(f"count(*) FILTER (WHERE status = '{s}') AS {s}" for s in ingest.STATUSES)
 
 
@@ -280,6 +292,22 @@ def q_output_naming(spark, sf_dir):
     return named.filter(F.col("out_name").isNotNull()).select("doc_id", "file_name", "out_name")
 
 
+@register("output_naming_existing",
+          f"WITH {_M}, {_CLS}, {_CONV}, taken AS (SELECT 'd' || CAST(doc_id // 8 AS VARCHAR) || ' (C).txt' AS t "
+          f"FROM documents WHERE doc_id % 24 = 5), w AS (SELECT *, {O.sql_fill(ingest.OUT_NAME, head='head', label='label')} "
+          f"AS first FROM converted WHERE status IN ('success', 'unsure')), "
+          f"r AS (SELECT *, row_number() OVER (PARTITION BY first ORDER BY file_name) - 1 "
+          f"+ CAST(first IN (SELECT t FROM taken) AS INTEGER) AS rk FROM w) "
+          f"SELECT doc_id, file_name, CASE WHEN rk = 0 THEN first ELSE "
+          f"{O.sql_fill(ingest.OUT_NAME_N, head='head', label='label', n='rk')} END AS out_name FROM r")
+def q_output_naming_existing(spark, sf_dir):
+    """Naming against a target that already holds the plain ``.c`` name of every third head."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id"]).filter(F.col("doc_id") % 24 == 5)
+    taken = docs.select(F.concat(F.lit("d"), F.expr("doc_id div 8").cast("string"), F.lit(" (C).txt")).alias("out_name"))
+    named = ingest.name_outputs(_converted(spark, sf_dir), "file_name", taken)
+    return named.filter(F.col("out_name").isNotNull()).select("doc_id", "file_name", "out_name")
+
+
 @register("removal_manifest",
           f"WITH {_M}, {_CLS}, {_CONV}, {_NAMED} SELECT file_name, out_name FROM named "
           f"WHERE status IN ('success', 'unsure')")
@@ -316,9 +344,11 @@ _WRITES = "status IN ('success', 'unsure')"
           f"{O.lines_cte('named', ['out_name'], 'out_text', where=_WRITES)} "
           f"SELECT out_name, line_no, {O.strip_sql('line')} AS line FROM lines WHERE contains(lower(line), 'license')")
 def q_convert_then_search(spark, sf_dir):
-    named = ingest.name_outputs(_converted(spark, sf_dir), "file_name")
-    texts = named.filter(F.col("status").isin("success", "unsure")).select("out_name", F.col("text"))
-    return exact.exact_search_texts(texts, "license", ["out_name"], "text")
+    conv = _converted(spark, sf_dir)
+    writes = conv.filter(F.col("status").isin("success", "unsure"))
+    hits = exact.exact_search_texts(writes, "license", ["file_name"], "text")
+    names = ingest.output_names(conv, "file_name")
+    return hits.join(names, F.col("file_name") == F.col("_name")).select("out_name", "line_no", "line")
 
 
 # ---------------------------------------------------------------- many queries (M1, M2)

@@ -151,15 +151,18 @@ def sql_fill(template: str, **exprs) -> str:
     return "(" + " || ".join(out) + ")"
 
 
-def converted_cte(src: str, name: str, text: str, out: str = "converted") -> str:
-    """No codecs registered: docx/pdf fail, plain copies are 'unsure'."""
+def converted_cte(src: str, name: str, text: str, out: str = "converted", codec_exts=()) -> str:
+    """docx/pdf fail without a codec (those of ``codec_exts`` give marked text), plain copies are 'unsure'."""
     from ferret.operators import ingest as I
     fail = sql_fill(I.MSG_FAIL, cause=sql_fill(I.CAUSE_NO_CODEC, ext="ext"), name=name)
-    return (f"{out}_s AS (SELECT *, CASE handler WHEN 'plain' THEN 'unsure' WHEN 'docx' THEN 'fail' "
-            f"WHEN 'pdf' THEN 'fail' ELSE 'skip' END AS status, "
-            f"CASE WHEN handler = 'plain' THEN regexp_replace({text}, '\\r\\n|\\r', chr(10), 'g') END AS out_text "
+    has = f"ext IN ({', '.join(sql_str(e) for e in codec_exts)})" if codec_exts else "false"
+    body = f"regexp_replace({text}, '\\r\\n|\\r', chr(10), 'g')"
+    return (f"{out}_s AS (SELECT *, CASE WHEN handler = 'plain' THEN 'unsure' WHEN handler = 'skip' THEN 'skip' "
+            f"WHEN {has} THEN 'success' ELSE 'fail' END AS status, "
+            f"CASE WHEN handler = 'plain' THEN {body} WHEN handler <> 'skip' AND {has} THEN '# ' || {body} END AS out_text "
             f"FROM {src}), "
             f"{out} AS (SELECT *, CASE status "
+            f"WHEN 'success' THEN {sql_fill(I.MSG_SUCCESS, name=name)} "
             f"WHEN 'fail' THEN {fail} "
             f"WHEN 'unsure' THEN {sql_fill(I.MSG_UNSURE, ext='ext', name=name)} "
             f"ELSE {sql_fill(I.MSG_SKIP, name=name)} END AS message FROM {out}_s)")

@@ -6,28 +6,24 @@ Line numbers for splittable text files
 A file no larger than one split is read whole (one row) and split into lines in
 one pass. A larger file is read by many tasks (one per split), so a task cannot
 know how many lines precede its split. Each line gets ``monotonically_increasing_id()``
-right at the scan (consecutive inside a task); a small job gathers, per
-(file, split), the first id and the line count; a running sum over the splits
-of a file gives the lines before each split. Then
+right at the scan (consecutive inside a task), and the scanned lines are written
+once to the shared checkpoint folder. The first id and the line count of each
+(file, split) come from those same lines, so the ids cannot disagree, whatever the
+cluster's size is when the result is read; a running sum over the splits of a
+file gives the lines before each split, and
 ``line_no = id - first_id + lines_before + 1``.
 
-The per-split table has one row per split (files + bytes / split size), so it is
-materialised once (checkpoint in the shared checkpoint folder), measured, and
-broadcast only under a row bound; above it the join is a normal shuffle join.
-Both passes read the same file listing with the same split settings, so the ids
-agree; a lost task re-reads its split and regenerates the same ids.
+File names are given as they are on disk (``_metadata`` columns hold them URL-encoded).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ferret.functions.text import lines_of
 from ferret.session import ensure_checkpoint_dir
 
-MAX_BROADCAST_SPLITS = 2_000_000
-
 MODES = ("PERMISSIVE", "DROPMALFORMED", "FAILFAST")
 
 
@@ -36,12 +32,24 @@ def _text_scan(spark: SparkSession, path: str, glob: str) -> DataFrame:
     return spark.read.format("text").option("pathGlobFilter", glob).load(path)
 
 
+def plain_path(col) -> Column:
+    """A path or name of ``_metadata`` as it is on disk: URL escapes decoded (a plus sign
+    is no blank here), ``file:///`` written as Hadoop prints it (``file:/``)."""
+    c = F.col(col) if isinstance(col, str) else col
+    c = F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(c, "^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/")
+
+
+def _file() -> list[Column]:
+    return [plain_path("_metadata.file_name").alias("file"), plain_path("_metadata.file_path").alias("path")]
+
+
 def _utf8(col, mode: str):
     return F.validate_utf8(col) if mode == "FAILFAST" else F.make_valid_utf8(col)
 
 
 def read_lines(spark: SparkSession, path: str, glob: str = "*.txt", mode: str = "PERMISSIVE",
-               max_broadcast_splits: int = MAX_BROADCAST_SPLITS, whole_file_bytes: int | None = None) -> DataFrame:
+               whole_file_bytes: int | None = None) -> DataFrame:
     """Numbered lines of every file matching ``glob`` directly in ``path``.
 
     Columns: file (base name), path, line_no (1-based), line.
@@ -61,8 +69,7 @@ def read_lines(spark: SparkSession, path: str, glob: str = "*.txt", mode: str =
     size = F.col("_metadata.file_size")
     small = (spark.read.format("text").option("pathGlobFilter", glob).option("wholetext", "true").load(path)
              .filter(size <= F.lit(whole_file_bytes))
-             .select(F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_path").alias("path"),
-                     F.col("value").alias("_raw")))
+             .select(*_file(), F.col("value").alias("_raw")))
     if mode == "DROPMALFORMED":
         small = small.filter(F.is_valid_utf8("_raw"))
     # UTF-8 is checked on the raw bytes first (a regex would silently repair them);
@@ -70,7 +77,7 @@ def read_lines(spark: SparkSession, path: str, glob: str = "*.txt", mode: str =
     text = F.regexp_replace(_utf8(F.col("_raw"), mode), "^\uFEFF", "")
     small_lines = lines_of(small.select("file", "path", text.alias("text")), ["file", "path"], "text")
     large_lines = _split_lines(spark, _text_scan(spark, path, glob).filter(size > F.lit(whole_file_bytes)),
-                               mode, max_broadcast_splits)
+                               mode)
     return small_lines.unionByName(large_lines)
 
 
@@ -81,15 +88,14 @@ def _bytes(v: str) -> int:
     return int(float(v[:-1]) * units[v[-1]]) if v and v[-1] in units else int(v)
 
 
-def _split_lines(spark: SparkSession, scan: DataFrame, mode: str, max_broadcast_splits: int) -> DataFrame:
+def _split_lines(spark: SparkSession, scan: DataFrame, mode: str) -> DataFrame:
     """Two-pass numbering of lines read split by split (see the module notes)."""
+    ensure_checkpoint_dir(spark)
     base = scan.select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_name").alias("file"),
+        *_file(),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_mid"),
-        F.col("value"))
-    ensure_checkpoint_dir(spark)
+        F.col("value")).checkpoint(eager=True)
     splits = (base.groupBy("path", "_block")
               .agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"),
                    F.min(F.is_valid_utf8("value").cast("int")).alias("_valid"))
@@ -97,11 +103,8 @@ def _split_lines(spark: SparkSession, scan: DataFrame, mode: str, max_broadcast_
                   Window.partitionBy("path").orderBy("_block")
                   .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
               .withColumn("_file_valid", F.min("_valid").over(Window.partitionBy("path")))
-              .select("path", "_block", "_first", "_before", "_file_valid")
-              .checkpoint(eager=True))
-    n_splits = splits.count()
-    side = F.broadcast(splits) if n_splits <= max_broadcast_splits else splits
-    lines = base.join(side, ["path", "_block"])
+              .select("path", "_block", "_first", "_before", "_file_valid"))
+    lines = base.join(splits, ["path", "_block"])
     if mode == "DROPMALFORMED":
         lines = lines.filter(F.col("_file_valid") == 1)
     return lines.select("file", "path",
@@ -113,24 +116,43 @@ def read_texts(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame
     """One row per file with its whole text (file, path, text): for many small files,
     and for streams. A file must fit in one row (2 GB)."""
     df = spark.read.format("text").option("pathGlobFilter", glob).option("wholetext", "true").load(path)
-    return df.select(F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_path").alias("path"),
-                     F.make_valid_utf8("value").alias("text"))
+    return df.select(*_file(), F.make_valid_utf8("value").alias("text"))
 
 
 def read_binary(spark: SparkSession, path: str, glob: str | None = None, with_content: bool = True) -> DataFrame:
     """Source documents: path, name, length, modificationTime (and content).
 
     Without ``content`` the column is pruned and no file body is read (listing only).
-    Note: ``binaryFile`` returns no row for a zero-byte file.
+    Zero-byte files, which ``binaryFile`` leaves out, come from a listing with empty content.
     """
     r = spark.read.format("binaryFile")
     if glob:
         r = r.option("pathGlobFilter", glob)
-    df = r.load(path)
-    cols = [F.col("path"), F.regexp_extract("path", r"([^/]*)$", 1).alias("name"), "length", "modificationTime"]
+    df = r.load(path).withColumn("path", plain_path("_metadata.file_path"))
+    cols = ["path", F.regexp_extract("path", r"([^/]*)$", 1).alias("name"), "length", "modificationTime"]
+    empty = _empty_files(spark, path, glob).withColumn("length", F.lit(0).cast("long"))
     if with_content:
         cols.append("content")
-    return df.select(*cols)
+        empty = empty.withColumn("content", F.lit(b""))
+    return df.select(*cols).unionByName(empty.select(*cols))
+
+
+def _empty_files(spark: SparkSession, path: str, glob: str | None) -> DataFrame:
+    """(path, modificationTime) of the zero-byte files directly in ``path``."""
+    jvm = spark._jvm
+    hadoop = jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(path)
+    fs = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    test = hadoop.GlobFilter(glob) if glob else None
+    found = []
+    listing = fs.listStatusIterator(folder) if fs.exists(folder) else None  # page by page
+    while listing is not None and listing.hasNext():
+        f = listing.next()
+        name = f.getPath().getName()
+        if f.isFile() and f.getLen() == 0 and name[:1] not in "._" and (test is None or test.accept(f.getPath())):
+            found.append((f.getPath().toString(), f.getModificationTime()))
+    return (spark.createDataFrame(found, "path string, ms long")
+            .select("path", F.timestamp_millis("ms").alias("modificationTime")))
 
 
 def read_type_list(spark: SparkSession, path: str) -> DataFrame:

@@ -1,10 +1,8 @@
 """Parquet table sources.
 
 Only the needed columns are selected right at the scan, so the Parquet reader
-prunes the rest (``ReadSchema`` in the plan). A scan that yields fewer splits
-than the cluster has task slots (a single large row group, say) is spread by a
-hash of its key; a big table already has far more splits than slots and is
-left alone, so no shuffle is added at scale.
+prunes the rest (``ReadSchema`` in the plan). Tasks come from the input's row groups;
+nothing is dealt out anew, so input should not be one large row group.
 """
 
 from __future__ import annotations
@@ -25,15 +23,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> Dat
     return df
 
 
-def spread(df: DataFrame, key_cols) -> DataFrame:
-    """Hash-spread a scan that has fewer partitions than the task slots."""
-    spark = df.sparkSession
-    slots = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
-        return df
-    return df.repartition(slots, *key_cols)
-
-
 # Corpus tables: (key columns, text column). The reference's "file" is the key.
 CORPORA = {
     "documents": (["doc_id"], "text"),
@@ -43,10 +32,8 @@ CORPORA = {
 }
 
 
-def read_corpus(spark: SparkSession, sf_dir: str, name: str, spread_small: bool = True):
+def read_corpus(spark: SparkSession, sf_dir: str, name: str):
     """Return (df with keys + text, key columns, text column)."""
     keys, text = CORPORA[name]
     df = read_table(spark, sf_dir, name, keys + [text])
-    if spread_small:
-        df = spread(df, keys)
     return df, keys, text

@@ -4,20 +4,19 @@ files show up in later searches; a stream does this incrementally).
 
 The stream reads whole files (one row per file, ``wholetext``), numbers the
 lines and applies the same narrow exact or fuzzy plan as the batch search. No
-state is kept between micro-batches, so the output is append-only and a restart
-from the checkpoint resumes with the files not yet processed.
+state is kept between micro-batches, so the output is append-only; a restart with the
+same ``checkpoint_location`` resumes with the files not yet processed, also in a new
+application.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferret.functions.text import lines_of
 from ferret.operators.search import search
-from ferret.session import ensure_checkpoint_dir
+from ferret.sources.files import plain_path
 
 
 def stream_lines(spark: SparkSession, path: str, glob: str = "*.txt", max_files_per_trigger: int | None = None):
@@ -25,7 +24,7 @@ def stream_lines(spark: SparkSession, path: str, glob: str = "*.txt", max_files_
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     # same text rules as the batch reader: bad bytes replaced, a leading BOM dropped
-    texts = r.load(path).select(F.col("_metadata.file_name").alias("file"),
+    texts = r.load(path).select(plain_path("_metadata.file_name").alias("file"),
                                 F.regexp_replace(F.make_valid_utf8("value"), "^\uFEFF", "").alias("text"))
     return lines_of(texts, ["file"], "text")
 
@@ -36,13 +35,12 @@ def search_stream(spark: SparkSession, path: str, query: str, method: str = "exa
     return search(stream_lines(spark, path, glob), query, ["file"], method, cutoff)
 
 
-def start_search_stream(spark: SparkSession, path: str, query: str, sink_path: str, name: str,
+def start_search_stream(spark: SparkSession, path: str, query: str, sink_path: str, checkpoint_location: str,
                         method: str = "exact", cutoff: float = 0.85, available_now: bool = False):
-    """Start the stream into a Parquet sink; its checkpoint lives in the session's
-    shared checkpoint folder under ``name``."""
-    ckpt = os.path.join(ensure_checkpoint_dir(spark), "streams", name)
+    """Start the stream into a Parquet sink. ``checkpoint_location`` is a folder of the
+    stream's own on shared storage; it must be the same after a restart."""
     w = (search_stream(spark, path, query, method, cutoff).writeStream
-         .format("parquet").option("path", sink_path).option("checkpointLocation", ckpt)
+         .format("parquet").option("path", sink_path).option("checkpointLocation", checkpoint_location)
          .outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import heapq
-from difflib import SequenceMatcher
+from difflib import SequenceMatcher, get_close_matches
 
 
 def py_lines(text: str):
@@ -20,16 +19,9 @@ def exact_hits(text: str, query: str):
 
 
 def best_word(words, word, cutoff):
-    """Best match by ratio(a=candidate, b=word) >= cutoff; ties to the larger candidate."""
-    result = []
-    s = SequenceMatcher()
-    s.set_seq2(word)
-    for x in words:
-        s.set_seq1(x)
-        if s.real_quick_ratio() >= cutoff and s.quick_ratio() >= cutoff and s.ratio() >= cutoff:
-            result.append((s.ratio(), x))
-    top = heapq.nlargest(1, result)
-    return top[0] if top else None
+    """(ratio, word) of the best match, ties to the larger candidate, or None."""
+    best = get_close_matches(word, words, n=1, cutoff=cutoff)
+    return (SequenceMatcher(None, best[0], word).ratio(), best[0]) if best else None
 
 
 def fuzzy_hits(text: str, query: str, cutoff: float):

@@ -21,9 +21,11 @@ def test_split_numbering_without_broadcast(spark, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(4096))
     try:
         a = _rows(read_lines(spark, str(d)))
-        b = _rows(read_lines(spark, str(d), max_broadcast_splits=0))
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        b = _rows(read_lines(spark, str(d)))
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert a == b and len(a) == 4000 and all(r[3] == f"n {r[2]}" for r in a)
 
 
@@ -35,16 +37,6 @@ def test_many_query_fuzzy_without_broadcast(spark):
     assert a == b and len(a) > 0
 
 
-def test_line_conversion_without_broadcast(spark, tmp_path):
-    d = tmp_path / "g"
-    d.mkdir()
-    for i in range(5):
-        (d / f"f{i}.md").write_text(f"doc {i}\nsecond\n")
-    a = _rows(ingest.convert_plain_lines(spark, str(d)))
-    b = _rows(ingest.convert_plain_lines(spark, str(d), max_broadcast_files=0))
-    assert a == b and len(a) == 10
-
-
 def test_rank_is_dense_across_partitions(spark):
     df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("k")).repartition(8)
     ranked = with_rank(df, [F.col("k")]).collect()

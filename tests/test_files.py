@@ -88,10 +88,9 @@ def test_whole_text_reader_keeps_bom(spark, corpus):
 
 def test_type_list_file(spark, tmp_path):
     p = tmp_path / "types.conf"
-    p.write_text(ingest.default_types_text())
+    p.write_text("# types\n\n" + "\n".join(" ".join(ingest.DEFAULT_TYPES[i:i + 8]) for i in range(0, 40, 8)) + "\n")
     got = [r.ext for r in read_type_list(spark, str(p)).collect()]
     assert tuple(got) == ingest.DEFAULT_TYPES
-    assert ingest.parse_types(ingest.default_types_text().splitlines()) == ingest.DEFAULT_TYPES
     assert ingest.DEFAULT_TYPES[:3] == (".css", ".sass", ".html") and len(ingest.DEFAULT_TYPES) == 40
 
 
@@ -100,7 +99,7 @@ def test_binary_listing_prunes_content(spark, corpus):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan.split("ReadSchema")[-1].split("\n")[0]
     names = {r.name for r in df.collect()}
-    assert "a.txt" in names and "empty.txt" not in names  # zero-byte files are not returned
+    assert {"a.txt", "empty.txt"} <= names  # zero-byte files come from a listing
 
 
 def test_bad_byte_in_a_later_split_drops_the_whole_file(spark, tmp_path):
@@ -127,3 +126,44 @@ def test_whole_file_and_split_paths_agree(spark, corpus):
         whole = sorted(tuple(r) for r in read_lines(spark, corpus, mode=mode, whole_file_bytes=1 << 30).collect())
         split = sorted(tuple(r) for r in read_lines(spark, corpus, mode=mode, whole_file_bytes=-1).collect())
         assert whole == split and len(whole) > 5, mode
+
+
+ODD = ("my file.c", "a%20b.c", "c#d.c", "e+f.c", "größe.c")
+
+
+def test_names_as_on_disk(spark, tmp_path):
+    from ferret.sources.files import read_texts
+    from ferret.streaming.watch import stream_lines
+    for i, n in enumerate(ODD):
+        (tmp_path / n).write_text(f"line of {i}\n")
+    for df in (read_lines(spark, str(tmp_path), glob="*.c"), read_texts(spark, str(tmp_path), glob="*.c")):
+        assert {r.file for r in df.collect()} == set(ODD)
+        assert {r.path for r in df.collect()} == {f"file:{tmp_path}/{n}" for n in ODD}
+    assert {r.name for r in read_binary(spark, str(tmp_path)).collect()} == set(ODD)
+    got = {r.out_name: r.line for r in ingest.convert_plain_lines(spark, str(tmp_path)).collect()}
+    assert got == {n[:-2] + " (C).txt": f"line of {i}" for i, n in enumerate(ODD)}
+    q = (stream_lines(spark, str(tmp_path), glob="*.c").writeStream.format("memory").queryName("odd_names")
+         .trigger(availableNow=True).start())
+    q.awaitTermination(120)
+    assert {r.file for r in spark.table("odd_names").collect()} == set(ODD)
+
+
+def test_large_file_keeps_all_lines_when_splits_change(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("".join(f"n {i}\n" for i in range(1, 40_001)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(16 << 10))
+        lines = read_lines(spark, str(tmp_path))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(40 << 10))  # another layout before the action
+        rows = lines.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert len(rows) == 40_000 and all(r.line == f"n {r.line_no}" for r in rows)
+
+
+def test_zero_byte_sources_are_converted(spark, tmp_path):
+    (tmp_path / "empty.md").write_bytes(b"")
+    (tmp_path / "full.md").write_bytes(b"x\n")
+    rows = {r.name: r for r in ingest.ingest_files(spark, str(tmp_path)).collect()}
+    assert rows["empty.md"].status == "unsure" and rows["empty.md"].text == "" and rows["empty.md"].out_name == "empty (MD).txt"
+    assert ingest.report(ingest.ingest_files(spark, str(tmp_path))).first().unsure == 2

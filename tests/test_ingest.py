@@ -4,12 +4,25 @@ import zipfile
 
 from pyspark.sql import functions as F
 
-from ferret.functions.codecs import docx_text
 from ferret.operators import ingest
 from ferret.plans import catalog
 from tests.conftest import SF_MID
 
 
+def _codec():
+    def docx_text(blob):
+        import io
+        import re
+        import zipfile
+        with zipfile.ZipFile(io.BytesIO(blob)) as z:
+            xml = z.read("word/document.xml").decode()
+        return "".join("".join(re.findall(r"<w:t[^>]*>([^<]*)", p)) + "\n" for p in re.findall(r"<w:p\b.*?</w:p>", xml, re.S))
+    return docx_text
+
+
+docx_text = _codec()
+
+
 def _docx(paragraphs):
     ns = "http://schemas.openxmlformats.org/wordprocessingml/2006/main"
     body = "".join(f'<w:p><w:r><w:t>{p}</w:t></w:r></w:p>' for p in paragraphs)
@@ -72,10 +85,6 @@ def test_ingest_files_with_codecs(spark, tmp_path):
     assert spark.read.parquet(sink).count() == 2
 
 
-def test_docx_codec():
-    assert docx_text(_docx(["a", "b"])) == "a\nb\n"
-
-
 def test_convert_then_search_files(spark, tmp_path):
     from ferret.operators.exact import exact_search_texts
     from ferret.operators.fuzzy import fuzzy_search
@@ -99,7 +108,7 @@ def test_convert_then_search_files(spark, tmp_path):
     assert close == want and ("b (PY).txt", 1, "licence") in close
 
 
-def test_oversized_files_are_kept_as_failures(spark, tmp_path):
+def test_oversized_files_keep_their_status(spark, tmp_path):
     d = tmp_path / "big"
     d.mkdir()
     (d / "huge.md").write_bytes(b"x" * 5000)
@@ -107,8 +116,8 @@ def test_oversized_files_are_kept_as_failures(spark, tmp_path):
     (d / "huge.bin").write_bytes(b"y" * 5000)
     rows = {r.name: r for r in ingest.ingest_files(spark, str(d), max_file_bytes=1000).collect()}
     assert rows["small.md"].status == "unsure" and rows["small.md"].text == "fine\n"
-    assert rows["huge.md"].status == "fail" and rows["huge.md"].text is None
-    assert rows["huge.md"].message.startswith("XX The file has 5000 bytes")
+    assert rows["huge.md"].status == "unsure" and rows["huge.md"].text is None
+    assert rows["huge.md"].out_name == "huge (MD).txt"
     assert rows["huge.bin"].status == "skip"
 
 
@@ -131,3 +140,18 @@ def test_plain_lines_equal_whole_text_conversion(spark, tmp_path):
     whole = ingest.ingest_files(spark, str(d)).filter("status = 'unsure'")
     want = sorted(tuple(r) for r in lines_of(whole, ["out_name"], "text").collect())
     assert got == want and len(got) == 3 + 3000 + 2  # a.MD is skipped: types are case-sensitive
+
+
+def test_names_of_different_heads_do_not_meet(spark):
+    types = (".c", ".C", ".1")
+    files = spark.createDataFrame([("a.c", "x"), ("a.C", "y"), ("a (C).1", "z")], "name string, text string")
+    conv = ingest.convert(ingest.classify(files, "name", types), "name", "text", text_input=True)
+    got = {r.name: r.out_name for r in ingest.name_outputs(conv, "name").collect()}
+    assert len(set(got.values())) == 3 and got["a (C).1"] == "a (C) (1).txt"
+
+
+def test_naming_reads_no_text(spark):
+    from tests.conftest import SF_SMALL
+    plan = catalog.QUERIES["convert_then_search"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    # one scan reads the texts to search, the other only what names are made of
+    assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan and "ReadSchema: struct<doc_id:bigint>" in plan

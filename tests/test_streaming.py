@@ -28,7 +28,27 @@ def test_stream_to_parquet_sink(spark, tmp_path):
     src.mkdir()
     (src / "c.txt").write_text("alpha\nbeta license\n")
     sink = str(tmp_path / "hits")
-    q = start_search_stream(spark, str(src), "LICENSE", sink, f"t{abs(hash(sink))}", available_now=True)
+    q = start_search_stream(spark, str(src), "LICENSE", sink, str(tmp_path / "ckpt"), available_now=True)
     q.awaitTermination(120)
     rows = spark.read.parquet(sink).collect()
     assert [(r.file, r.line_no, r.line) for r in rows] == [("c.txt", 2, "beta license")]
+
+
+def test_restart_in_a_new_application_finds_new_files(tmp_path):
+    import subprocess
+    import sys
+    src, sink, ckpt = tmp_path / "in3", tmp_path / "out3", tmp_path / "ckpt3"
+    src.mkdir()
+    program = """
+import sys
+from ferret.session import local_session
+from ferret.streaming.watch import start_search_stream
+spark = local_session(2, 2)
+start_search_stream(spark, sys.argv[1], "license", sys.argv[2], sys.argv[3], available_now=True).awaitTermination(120)
+print("HITS", sorted(r.file for r in spark.read.parquet(sys.argv[2]).collect()))
+"""
+    for n, want in (("f1.txt", ["f1.txt"]), ("f2.txt", ["f1.txt", "f2.txt"])):
+        (src / n).write_text("a license line\n")
+        out = subprocess.run([sys.executable, "-c", program, str(src), str(sink), str(ckpt)], capture_output=True, text=True,
+                             timeout=200)
+        assert f"HITS {want}" in out.stdout, out.stderr[-2000:]
