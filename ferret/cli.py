@@ -66,6 +66,7 @@ def _queries(spark: SparkSession, args):
 def run_search(spark: SparkSession, args) -> list:
     from ferret.functions.text import lines_of
     from ferret.operators import multi
+    from ferret.operators.fuzzy import fuzzy_search
     from ferret.sources.files import read_lines
 
     if args.dir:
@@ -75,7 +76,9 @@ def run_search(spark: SparkSession, args) -> list:
         docs = spark.read.parquet(args.table).select(*keys, args.text)
         lines = lines_of(docs, keys, args.text)
     queries = _queries(spark, args)
-    if args.fuzzy:
+    if args.fuzzy and len(args.query) == 1 and not args.queries_file:  # any cutoff, 0 included
+        hits = fuzzy_search(lines, args.query[0], keys, args.cutoff).select(F.lit(0).cast("long").alias("query_id"), "*")
+    elif args.fuzzy:
         hits = multi.fuzzy_search_many(lines, queries, keys, args.cutoff)
     else:
         hits = multi.exact_search_many(lines, queries, keys)

@@ -181,10 +181,9 @@ def named_cte(src: str, name: str, out: str = "named") -> str:
 # ---------------------------------------------------------------- many queries
 
 def queries_cte() -> str:
-    """Queries derived from benchmark: the second word (raw case) of each item's text."""
-    return (f"queries AS (SELECT item_id AS query_id, "
-            f"list_filter(regexp_split_to_array(text, '{WS_RUN}'), lambda x: x <> '')[2] AS query "
-            f"FROM benchmark WHERE len(list_filter(regexp_split_to_array(text, '{WS_RUN}'), lambda x: x <> '')) >= 2)")
+    """Queries derived from benchmark: every distinct word (own case) of all items' texts."""
+    return (f"queries AS (SELECT DISTINCT w AS query_id, w AS query FROM (SELECT unnest("
+            f"regexp_split_to_array(text, '{WS_RUN}')) AS w FROM benchmark) WHERE w <> '')")
 
 
 def fuzzy_many_ctes(cutoff: float) -> str:

@@ -29,8 +29,7 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None, app: st
     b = SparkSession.builder.master(f"local[{cores}]").appName(app)
     conf = dict(DEFAULTS)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or cores)
-    if os.environ.get("FERRET_DRIVER_MEMORY"):
-        conf["spark.driver.memory"] = os.environ["FERRET_DRIVER_MEMORY"]
+    conf["spark.driver.memory"] = os.environ.get("FERRET_DRIVER_MEMORY", "4g")
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)

@@ -56,6 +56,16 @@ def test_scans_read_only_needed_columns(spark):
     assert re.search(r"ReadSchema: struct<doc_id:bigint,text:string>", plan)
 
 
+@pytest.mark.parametrize("key", ["exact_multi_query", "exact_multi_query_trigram", "fuzzy_multi_query"])
+def test_many_queries_use_no_nested_loop(spark, key):
+    assert not re.search("NestedLoop|Cartesian", _plan(spark, key))
+
+
 def test_broadcast_detection_sees_the_query_side(spark):
     subs = _broadcast_subtrees(_plan(spark, "exact_multi_query"))
     assert subs and any("benchmark.parquet" in s for s in subs)
+
+
+def test_vocabulary_has_one_shuffle_and_both_methods_one_scan(spark):
+    assert len(re.findall(r"Exchange hashpartitioning", _plan(spark, "vocabulary").split("== Initial Plan ==")[0])) == 1
+    assert _plan(spark, "search_method_both").split("== Initial Plan ==")[0].count("FileScan") == 1
