@@ -183,13 +183,24 @@ def output_names(converted: DataFrame, name_col: str = "name", existing: DataFra
     spellings of one head in one folder, so it stays small. ``name_col`` names a source once.
     """
     stem = F.concat(F.col("head"), F.lit(" ("), F.col("label"), F.lit(")"))
+    family = Window.partitionBy("_family")
     sources = (converted.filter(F.col("status").isin("success", "unsure"))
-               .select(F.col(name_col).alias("name"), "head", "label", _family(stem).alias("_family")))
-    if existing is None:
-        existing = converted.sparkSession.createDataFrame([], "out_name string")
-    taken = existing.select("out_name", _family(F.regexp_replace("out_name", r"\.txt$", "")).alias("_family"))
-    return sources.groupBy("_family").cogroup(taken.groupBy("_family")).applyInPandas(
-        _assign_names, "_name string, out_name string")
+               .select(F.col(name_col).alias("name"), "head", "label", stem.alias("_stem"), _family(stem).alias("_family"))
+               .withColumn("_rank", F.row_number().over(family.orderBy("name")) - 1)
+               .withColumn("_mixed", (F.min("_stem").over(family) != F.max("_stem").over(family)).cast("int")))
+    spark = converted.sparkSession
+    taken = (spark.createDataFrame([], "out_name string") if existing is None else existing.select("out_name"))
+    taken = taken.withColumn("_family", _family(F.regexp_replace("out_name", r"\.txt$", "")))
+    if existing is not None:
+        sources = sources.join(taken.select("_family", F.lit(1).alias("_held")).distinct(), "_family", "left")
+        sources = sources.withColumn("_mixed", F.greatest("_mixed", F.coalesce("_held", F.lit(0)))).drop("_held")
+    # one spelling and a free family: the k-th source takes the k-th name; the others one by one
+    head, label, n = F.col("head"), F.col("label"), F.col("_rank")
+    plain = F.when(n == 0, fill(OUT_NAME, head=head, label=label)).otherwise(fill(OUT_NAME_N, head=head, label=label, n=n))
+    alone = sources.filter("_mixed = 0").select(F.col("name").alias("_name"), plain.alias("out_name"))
+    mixed = sources.filter("_mixed = 1").select("name", "head", "label", "_family")
+    return alone.unionByName(mixed.groupBy("_family").cogroup(taken.groupBy("_family")).applyInPandas(
+        _assign_names, "_name string, out_name string"))
 
 
 def name_outputs(converted: DataFrame, name_col: str = "name", existing: DataFrame | None = None) -> DataFrame:
