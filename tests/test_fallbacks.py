@@ -31,7 +31,8 @@ def test_split_numbering_without_broadcast(spark, tmp_path):
 
 
 @pytest.fixture
-def shuffled(spark):
+def shuffled(spark, monkeypatch):
+    monkeypatch.setattr(multi, "BROADCAST_BYTES", -1)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     yield
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -48,6 +49,7 @@ def test_many_query_fuzzy_without_broadcast(spark, shuffled):
     df = multi.fuzzy_search_many(lines, q, keys, 0.8)
     assert "SortMergeJoin" in _joins(df)
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    multi.BROADCAST_BYTES = 16 << 20
     assert _rows(df) == _rows(multi.fuzzy_search_many(lines, q, keys, 0.8)) != []
 
 
