@@ -13,8 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferret.llm import decontaminate, packing, simhash, substring_dedup, toxicity
-from ferret.llm.brown_lm import stored
-from ferret.llm.common import bounded, checkpointed, held_out, table
+from ferret.llm.common import bounded, checkpointed, held_out, stored, table
 
 
 def _key(ids: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferret.llm import wordhash as W
-from ferret.llm.common import bit_filter, bounded, checkpointed, longs, passes, slices, texts_of
+from ferret.llm.common import bit_filter, bounded, checkpointed, longs, passes, slices, stored, texts_of
 
 _EMPTY = hashlib.sha256(b"").hexdigest()
 
@@ -89,8 +89,10 @@ def repeated_windows(docs: DataFrame, window: int = 50) -> DataFrame:
             .where("a < b").select("h"))
     filter_words = docs.sparkSession.sparkContext.broadcast(bit_filter(checkpointed(seen), "h"))
     rows = window_rows(docs, window, filter_words)
-    least = (rows.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-             .where("least < most").select("h1", "h2", "least"))
+    # read back from storage, so that both sides of the join are shuffled for it and AQE can
+    # split the rows of a window that very many texts hold
+    least = stored(rows.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+                   .where("least < most").select("h1", "h2", "least"))
     return (rows.join(least, ["h1", "h2"]).where("doc_id > least")
             .groupBy("doc_id").agg(F.collect_list("pos").alias("starts")))
 

@@ -1,7 +1,6 @@
 import corpus_pipeline as P
 from ferret.llm import queries
-from ferret.llm.brown_lm import stored
-from ferret.llm.common import table
+from ferret.llm.common import stored, table
 from tests.conftest import SF_MID
 from tests.llm.test_dedup import brute_components, brute_cut, brute_print
 
