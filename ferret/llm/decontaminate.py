@@ -1,12 +1,12 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 Words are runs of letters and digits, lower-cased. The n-grams of the test items are
-the seeds; one pass over all texts counts them. A seed is rare if the corpus holds it
-no more than ``RARE`` times, or no more than four times as often as the lower
-quartile of its own item's seeds (an item that leaked into very many texts keeps its
-seeds). A second pass takes the rare seeds' hits in each text; hits of one item that
-lie close together give a passage, which is aligned with the item by Smith-Waterman
-over words, so edited, shortened and paraphrased copies score by what they share.
+the seeds; one pass over all texts counts them. A second pass takes the seeds' hits in
+each text; hits of one item that lie close together give a passage, which is aligned
+with the item by Smith-Waterman over words, so edited, shortened and paraphrased copies
+score by what they share. No seed is dropped for being frequent: a text's passages of an
+item are aligned rarest seeds first, and a passage is passed over only if the words it
+shares with the item cannot reach the least score, or the score already found.
 
 Both passes are narrow: the items travel to the tasks in blocks of at most about
 ``BLOCK_WORDS`` words (one pass per block), and no text is shuffled.
@@ -23,7 +23,6 @@ from ferret.llm import wordhash as W
 from ferret.llm.common import longs, slices, texts_of
 
 SEED = 3
-RARE = 10
 BLOCK_WORDS = 2_000_000
 #: Alignment scores of a word: equal, different, left out.
 EQUAL, OTHER, GAP = 1, -1, -1
@@ -79,16 +78,9 @@ class Seeds:
         self.hash, at = np.unique(every[order], return_index=True)
         self.at = np.r_[at, len(every)]
 
-    def rare(self, count: np.ndarray, n_items: int) -> np.ndarray:
-        """Which (seed, item) entries are rare; ``count``: the corpus' hits of each hash."""
-        of = np.repeat(count, np.diff(self.at))
-        limit = np.full(n_items, RARE, float)
-        order = np.lexsort((of, self.item))
-        first = np.searchsorted(self.item[order], np.arange(n_items + 1))
-        for i in range(n_items):
-            if first[i + 1] > first[i]:
-                limit[i] = max(RARE, 4 * of[order[first[i] + (first[i + 1] - first[i] - 1) // 4]])
-        return of <= limit[self.item]
+    def weights(self, count: np.ndarray) -> np.ndarray:
+        """Rarity of each (seed, item) entry; ``count``: the corpus' hits of each hash."""
+        return np.repeat(1 / np.maximum(count, 1), np.diff(self.at))
 
     def hits(self, g: np.ndarray):
         """(position, seed number) of the hashes that are seeds."""
@@ -119,27 +111,27 @@ def seed_counts(docs: DataFrame, seeds) -> DataFrame:
     return docs.select("text").mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
 
 
-def _passages(h, first, g, seeds: Seeds, rare: np.ndarray, sizes: np.ndarray):
-    """(doc, item, from, to): word ranges of texts around close hits of an item."""
+def _passages(h, first, g, seeds: Seeds, weight: np.ndarray, sizes: np.ndarray):
+    """(doc, item, from, to): word ranges of texts around close hits of an item, those
+    of the rarest seeds first."""
     at, k = seeds.hits(g)
     n = seeds.at[k + 1] - seeds.at[k]
     entry = np.repeat(seeds.at[k], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    at = np.repeat(at, n)[rare[entry]]
-    entry = entry[rare[entry]]
-    item, place = seeds.item[entry], seeds.place[entry]
-    doc = W.owner(first)[at]
+    if not len(entry):
+        return
+    at = np.repeat(at, n)
+    item, place, doc = seeds.item[entry], seeds.place[entry], W.owner(first)[at]
     order = np.lexsort((at, item, doc))
-    at, item, place, doc = at[order], item[order], place[order], doc[order]
-    new = np.r_[True, (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (at[1:] - at[:-1] > sizes[item[1:]])] if len(at) else np.zeros(0, bool)
-    head = np.flatnonzero(new)
-    for i, j in zip(head, np.r_[head[1:], len(at)]):
-        d, t = doc[i], item[i]
-        if len(np.unique(at[i:j])) < 2 and sizes[t] > SEED + 2:
-            continue  # a lone seed of a longer item cannot reach the least score
-        slack = int(sizes[t]) // 2 + 2
-        lo = max(int(first[d]), int((at[i:j] - place[i:j]).min()) - slack)
-        hi = min(int(first[d + 1]), int((at[i:j] - place[i:j]).max()) + int(sizes[t]) + slack)
-        yield int(d), int(t), max(lo, int(at[i]) - int(sizes[t]) - slack), min(hi, int(at[j - 1]) + int(sizes[t]) + slack)
+    at, item, place, doc, entry = at[order], item[order], place[order], doc[order], entry[order]
+    head = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (at[1:] - at[:-1] > sizes[item[1:]])])
+    tail = np.r_[head[1:], len(at)] - 1
+    doc, item = doc[head], item[head]
+    size, slack = sizes[item], sizes[item] // 2 + 2
+    lo = np.maximum(first[doc], np.minimum.reduceat(at - place, head) - slack)
+    hi = np.minimum(first[doc + 1], np.maximum.reduceat(at - place, head) + size + slack)
+    lo, hi = np.maximum(lo, at[head] - size - slack), np.minimum(hi, at[tail] + size + slack)
+    for i in np.argsort(-np.add.reduceat(weight[entry], head), kind="stable"):
+        yield int(doc[i]), int(item[i]), int(lo[i]), int(hi[i])
 
 
 def _block_leaks(docs: DataFrame, rows: list) -> DataFrame:
@@ -151,16 +143,20 @@ def _block_leaks(docs: DataFrame, rows: list) -> DataFrame:
     count = np.zeros(len(table.hash), np.int64)
     for r in seed_counts(docs, seeds).toLocalIterator():
         count[r["k"]] = r["n"]
-    held = sc.broadcast((words, ids, table.rare(count, len(rows))))
+    held = sc.broadcast((words, ids, table.weights(count)))
 
     def run(batches):
         s = seeds.value
-        words, ids, rare = held.value
+        words, ids, weight = held.value
         sizes = np.array([len(w) for w in words], np.int64)
         for b in slices(batches, 1):
             h, first, g = _grams(b.column(1))
             best: dict = {}
-            for d, t, lo, hi in _passages(h, first, g, s, rare, sizes):
+            for d, t, lo, hi in _passages(h, first, g, s, weight, sizes):
+                # no alignment scores more than the item's words that the passage holds
+                most = int(np.isin(words[t], h[lo:hi]).sum())
+                if most < max(min(LEAST, sizes[t]), min(SHARE * sizes[t], LONG)) or most < best.get((d, t), (0,))[0]:
+                    continue
                 score, start, end = align(words[t], h[lo:hi])
                 if score >= min(LEAST, sizes[t]) and (score >= SHARE * sizes[t] or score >= LONG):
                     row = (score, score / sizes[t], int(lo + start - first[d]), int(lo + end - first[d]))

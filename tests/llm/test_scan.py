@@ -55,6 +55,16 @@ def test_item_blocks_give_the_same(spark, monkeypatch):
     assert sorted(map(tuple, decontaminate.leaks(docs, items).collect())) == once
 
 
+@pytest.mark.parametrize("copies", [10, 11, 1000])
+def test_shortened_copies_are_found_however_many(spark, copies):
+    item = [f"q{i}" for i in range(40)]
+    rows = [(i, " ".join([f"a{i}"] * 5 + item[:28] + [f"b{i}"] * 5)) for i in range(copies)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = [tuple(r) for r in decontaminate.leaks(docs, items).collect()]
+    assert sorted(got) == [(i, 1, 28, 0.7, 5, 33) for i in range(copies)]
+
+
 def test_exact_passages_on_the_table(spark):
     items = {r.item_id: re.findall(r"\w+", r.text.lower()) for r in table(spark, SF_MID, "benchmark").collect()}
     want = set()
