@@ -138,12 +138,14 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
 def _sweep(counts: dict, groups: dict) -> list:
     """Stack heights by size. counts: (kind, size) -> rows (kind 1: gaps, 0: pieces);
     groups: (kind, size, sub) -> rows. Gives (kind, size, sub, first height, rows with one)."""
-    rows, height = [], 0
+    rows, height, subs = [], 0, {}
+    for k, z, s in sorted(groups):
+        subs.setdefault((k, z), []).append(s)
     for size in sorted({s for _, s in counts}, reverse=True):
         for kind in (1, 0):
             n = counts.get((kind, size), 0)
             have, rank = height, 0
-            for sub in sorted(s for k, z, s in groups if (k, z) == (kind, size)) if n else ():
+            for sub in subs.get((kind, size), ()) if n else ():
                 m = groups[kind, size, sub]
                 if kind:
                     rows.append((kind, size, sub, have + rank + 1, m))
@@ -183,14 +185,15 @@ def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         counts = {(0, k): n for k, n in sizes.items()}
         counts |= {(1, r["size"]): r["n"] for r in slots.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()}
         parts = {k: -(-n // GROUP) for k, n in counts.items() if n > GROUP}
-        sub = F.lit(0)
-        for (kind, size), k in parts.items():
-            sub = F.when((F.col("kind") == kind) & (F.col("size") == size),
-                         F.pmod(F.xxhash64("id", "slot"), F.lit(k)).cast("int")).otherwise(sub)
-        rows = rows.withColumn("sub", sub)
+        if parts:  # at most 2 x capacity rows
+            hot = F.broadcast(spark.createDataFrame([(k, z, n) for (k, z), n in parts.items()], "kind int, size long, parts int"))
+            many = rows.join(hot, ["kind", "size"])
+            rows = rows.join(hot, ["kind", "size"], "left")
+        sub = F.pmod(F.xxhash64("id", "slot"), F.coalesce("parts", F.lit(1))).cast("int") if parts else F.lit(0)
+        rows = rows.select("kind", "size", "id", "slot", sub.alias("sub"))
         groups = {(k, s, 0): n for (k, s), n in counts.items() if (k, s) not in parts}
         if parts:
-            many = rows.where(" or ".join(f"(kind = {k} and size = {s})" for k, s in parts))
+            many = many.withColumn("sub", sub)
             groups |= {(r["kind"], r["size"], r["sub"]): r["n"] for r in
                        many.groupBy("kind", "size", "sub").agg(F.count(F.lit(1)).alias("n")).collect()}
         heights = spark.createDataFrame(_sweep(counts, groups), "kind int, size long, sub int, first long, most long")

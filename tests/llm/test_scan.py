@@ -162,6 +162,14 @@ def test_packing_ties(spark, sizes, monkeypatch):
         assert used <= max(bound + 1, sum(s > 1024 for s in sizes), -(-sum(s > 682 for s in sizes) // 2))
 
 
+def test_packing_with_hundreds_of_hot_sizes(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP", 2)
+    items = spark.createDataFrame([(5 * s + k, s) for s in range(1, 1001) for k in range(5)], "uid long, length long")
+    rows = packing.pack(items).join(items, "uid").collect()
+    used, bound = _check_packing(rows)
+    assert len({r.uid for r in rows}) == len(rows) == 5000 and used <= 1.03 * bound + 1
+
+
 def test_scans_odd_rows(spark, odd, empty):
     items = spark.createDataFrame([(1, None), (2, ""), (3, "a b"), (None, "x y z"), (4, " ".join(f"alpha{i}" for i in range(30))),
                                    (4, " ".join(f"alpha{i}" for i in range(30)))], "item_id long, text string")
