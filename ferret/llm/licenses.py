@@ -1,16 +1,18 @@
 """Licence notices by conditional compression.
 
-Lines that speak of licences open candidate blocks: the line and what follows it, as
-long as the longest template. Each block is compressed alone and with every template
+Words that speak of licences are cues. The text around a cue, on both sides and across
+line breaks as far as a template reaches, is compressed alone and with every template
 as a raw zstandard dictionary; the bytes saved, as a share of the template's own size,
-rank the templates. The best ones are confirmed by their exact wording: the template's
-words must occur in order in the block, except for a few, and numbers and the words
-that tell licences apart must be the same. What differs is part of the result.
+rank the templates. Those that save bytes are confirmed by their exact wording: the
+template's words must occur in order around the cue, except for a few, and numbers and
+the words that tell licences apart must be the same. What differs is part of the result.
+The search goes on with the cues after the end of a confirmed notice.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from difflib import SequenceMatcher
 
 import pyarrow as pa
@@ -59,28 +61,46 @@ CUE = re.compile(r"licen[sc]|copyright|permission|redistribut|warrant|public dom
 # Words that tell licences apart; one of them in either text must be in both.
 _TELLING = frozenset("""mit bsd isc apache gnu general lesser affero mozilla mpl cc by sa nc nd attribution noncommercial
 sharealike commercial unencumbered""".split())
-#: Templates confirmed for each block, by rank; share of a template's words that must occur.
-RANKED, WORDS = 3, 0.9
+#: Share of a template's words that must occur.
+WORDS = 0.9
 
-_FOUND = "array<struct<license:string,line:int,saved:double,share:double,differences:array<string>>>"
+_FOUND = "array<struct<license:string,line:int,saved:double,share:double,differences:array<string>,start:int,end:int>>"
 
 
-def _words(text: str) -> list:
-    return re.findall(r"\d+(?:\.\d+)*|[^\W\d_]+", text.lower())
+_WORD = re.compile(r"\d+(?:\.\d+)*|[^\W\d_]+")
 
 
-def differences(template: list, block: list) -> tuple[float, list]:
-    """(share of the template's words found in order, word changes) within its best place."""
-    match = SequenceMatcher(None, template, block, autojunk=False)
-    pairs = [m for m in match.get_matching_blocks() if m.size]
-    if not pairs:
-        return 0.0, []
-    lo, hi = pairs[0].b, pairs[-1].b + pairs[-1].size
-    out = [*(("-" + w) for w in template[:pairs[0].a])]
-    for a, b in zip(pairs, pairs[1:]):
-        out += ["-" + w for w in template[a.a + a.size:b.a]] + ["+" + w for w in block[a.b + a.size:b.b]]
-    out += ["-" + w for w in template[pairs[-1].a + pairs[-1].size:]]
-    return sum(m.size for m in pairs) / len(template), out if hi > lo else out
+def _words(text: str) -> list:
+    return _WORD.findall(text.lower())
+
+
+def differences(template: list, block: list, cue: tuple[int, int], most: int):
+    """(share of the template's words found in order, word changes, first, end) for its
+    place in ``block`` that holds the words ``cue``, without gaps of over ``most`` words."""
+    lo, hi = 0, len(block)
+    while lo < hi:
+        match = SequenceMatcher(None, template, block[lo:hi], autojunk=False)
+        pairs = [(m.a, m.b + lo, m.size) for m in match.get_matching_blocks() if m.size]
+        if not pairs:
+            break
+        wide = next(((x[1] + x[2], y[1]) for x, y in zip(pairs, pairs[1:]) if y[1] - x[1] - x[2] > most), None)
+        if wide:  # two places: go on with that of the cue
+            lo, hi = (wide[1], hi) if cue[0] >= wide[1] else (lo, wide[0])
+            continue
+        first, end = pairs[0][1], pairs[-1][1] + pairs[-1][2]
+        left = len(template) - pairs[-1][0] - pairs[-1][2]
+        if cue[1] <= first - pairs[0][0]:
+            hi = first
+            continue
+        if cue[0] >= end + left:
+            lo = end
+            continue
+        out = ["-" + w for w in template[:pairs[0][0]]]
+        for (a, p, n), (c, q, _) in zip(pairs, pairs[1:]):
+            out += ["-" + w for w in template[a + n:c]] + ["+" + w for w in block[p + n:q]]
+        out += ["-" + w for w in template[len(template) - left:]]
+        return sum(n for *_, n in pairs) / len(template), out, first, end
+    return 0.0, [], 0, 0
 
 
 class Scanner:
@@ -92,59 +112,60 @@ class Scanner:
         self.size = {k: max(1, len(self.plain.compress(t.encode()))) for k, t in templates.items()}
         self.primed = {k: z.ZstdCompressor(level=3, dict_data=z.ZstdCompressionDict(t.encode(), dict_type=z.DICT_TYPE_RAWCONTENT))
                        for k, t in templates.items()}
-        self.length = {k: len(t) for k, t in templates.items()}
-
-    def block(self, text: str) -> list:
-        """Confirmed (license, saved share, word share, differences), best first."""
-        ranked = []
-        for k, c in self.primed.items():
-            raw = text[:2 * self.length[k] + 40].encode()  # a notice is as long as its wording
-            ranked.append(((len(self.plain.compress(raw)) - len(c.compress(raw))) / self.size[k], k))
-        ranked.sort(key=lambda r: (-r[0], r[1]))
+        self.reach = {k: 2 * len(t) + 40 for k, t in templates.items()}
+
+    def around(self, text: str, start: int, stop: int, since: int):
+        """The best confirmed (license, saved share, word share, differences, start, end)
+        that holds the cue text[start:stop] and opens at ``since`` or later, or None."""
+        most = max(self.reach.values(), default=0)
+        found = list(_WORD.finditer(text, max(since, start - most), stop + most))
+        begins, said = [w.start() for w in found], [w[0].lower() for w in found]
+        cue = bisect_right(begins, start) - 1, bisect_left(begins, stop)
         out = []
-        for saved, k in ranked[:RANKED]:
-            mine = self.words[k]
-            share, changed = differences(mine, _words(text[:2 * self.length[k] + 40]))
+        for k, c in self.primed.items():
+            mine, reach = self.words[k], self.reach[k]
+            raw = text[max(since, start - reach):stop + reach].encode()  # a notice is as long as its wording
+            saved = (len(self.plain.compress(raw)) - len(c.compress(raw))) / self.size[k]
+            i, j = bisect_left(begins, start - reach), bisect_left(begins, stop + reach)
+            have = set(said[i:j])
+            if saved <= 0 or sum(w in have for w in mine) < WORDS * len(mine):
+                continue
+            limit = max(2, len(mine) // 4)
+            share, changed, a, b = differences(mine, said[i:j], (cue[0] - i, cue[1] - i), limit)
             bad = any(w[1:] in _TELLING or w[1:2].isdigit() for w in changed)
-            if saved > 0 and share >= WORDS and not bad and len(changed) <= max(2, len(mine) // 4):
-                out.append((k, round(float(saved), 6), float(share), changed))
-        return sorted(out, key=lambda r: (-r[2], len(r[3]), -len(self.words[r[0]]), r[0]))
+            if share >= WORDS and not bad and len(changed) <= limit:
+                out.append((k, round(float(saved), 6), float(share), changed, begins[i + a], found[i + b - 1].end()))
+        return min(out, key=lambda r: (-r[2], len(r[3]), -len(self.words[r[0]]), r[0]), default=None)
 
     def scan(self, text: str) -> list:
-        if not CUE.search(text):
-            return []
-        lines = text.split("\n")
-        out, most = [], 2 * max(self.length.values(), default=0) + 40
-        for i, line in enumerate(lines):
-            for m in CUE.finditer(line):
-                # the block opens at the sentence that holds the cue
-                at = max(line.rfind(". ", 0, m.start()) + 1, line.rfind("; ", 0, m.start()) + 1, 0)
-                block, j = line[at:].lstrip(), i + 1
-                while len(block) < most and j < len(lines):
-                    block, j = block + "\n" + lines[j], j + 1
-                best = self.block(block)
-                if best:
-                    out.append((best[0][0], i + 1, *best[0][1:]))
-                    break
+        out, since = [], 0
+        for m in CUE.finditer(text):
+            best = self.around(text, m.start(), m.end(), since) if m.start() >= since else None
+            if best:
+                name, *rest, start, since = best
+                line = text.count("\n", 0, start) + 1
+                if not out or out[-1][1] != line:  # the first of a line
+                    out.append((name, line, *rest, start, since))
         return out
 
 
 def licenses(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
-    """(doc_id, found) for every row of ``docs`` (doc_id, text): each line (from 1) that
-    opens a notice, with its licence, saved share, share of equal words and changed
-    words; an empty array where there is none.
+    """(doc_id, found) for every row of ``docs`` (doc_id, text): each notice, none
+    overlapping another, with its licence, the line (from 1) it opens on, saved share,
+    share of equal words, changed words and range of characters; an empty array where
+    there is none.
 
     Null or empty texts hold none; null doc_ids and repeated rows are scanned like others;
-    an empty table gives an empty result. Narrow; other columns are not read. Lines that
-    hold several notices give the first confirmed one.
+    an empty table gives an empty result. Narrow; other columns are not read.
     """
     wording = dict(TEMPLATES if templates is None else templates)
 
     def run(batches):
         scanner = Scanner(wording)
         kind = pa.list_(pa.struct([("license", pa.string()), ("line", pa.int32()), ("saved", pa.float64()),
-                                   ("share", pa.float64()), ("differences", pa.list_(pa.string()))]))
-        names = ("license", "line", "saved", "share", "differences")
+                                   ("share", pa.float64()), ("differences", pa.list_(pa.string())),
+                                   ("start", pa.int32()), ("end", pa.int32())]))
+        names = ("license", "line", "saved", "share", "differences", "start", "end")
         for b in slices(batches, 1):
             found = [[dict(zip(names, f)) for f in scanner.scan(t or "")] for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, kind)], ["doc_id", "found"])

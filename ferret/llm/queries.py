@@ -24,7 +24,8 @@ def op2_quality_classifier(spark, sf_dir):
 def op3_license_scan(spark, sf_dir):
     """One row for each notice that a document holds."""
     return (licenses.licenses(table(spark, sf_dir, "documents")).select("doc_id", F.explode("found").alias("f"))
-            .select("doc_id", "f.license", "f.line", "f.saved", "f.share", F.array_join("f.differences", " ").alias("differences")))
+            .select("doc_id", "f.license", "f.line", "f.saved", "f.share", F.array_join("f.differences", " ").alias("differences"),
+                    "f.start", "f.end"))
 
 
 def op4_quality_rules(spark, sf_dir):

@@ -97,6 +97,18 @@ def test_license_wording(text, want):
     assert [g[0] for g in got] == ([want] if want else [])
 
 
+@pytest.mark.parametrize("text, want", [
+    ("The dataset, the scripts and the trained model weights described in this report are all released under the MIT License.",
+     [("MIT short", 1)]),
+    ("Released under the\nMIT License.", [("MIT short", 1)]),
+    ("To the extent possible under law, the\nauthor has waived all copyright\nand related or neighboring rights to this work.",
+     [("CC0-1.0", 1)]),
+    ("word " * 200 + "licensed under CC BY 4.0", [("CC-BY-4.0", 1)]),
+])
+def test_license_late_or_wrapped(text, want):
+    assert [g[:2] for g in licenses.Scanner(licenses.TEMPLATES).scan(text)] == want
+
+
 PAGE = """<html><head><title>T</title><script>if (a<b) "</p>"</script><style>p{}</style></head><body>
 <header><h2>Site name</h2></header><nav><ul><li><a href=x>Home</a></li></ul></nav><div class="cookie-notice">We use cookies</div>
 %s<aside>See also</aside><form>Mail <input name=a></form><div id="comments"><p>Nice post</p></div><footer>&copy; us</footer></body></html>"""
