@@ -143,9 +143,7 @@ class Scanner:
             best = self.around(text, m.start(), m.end(), since) if m.start() >= since else None
             if best:
                 name, *rest, start, since = best
-                line = text.count("\n", 0, start) + 1
-                if not out or out[-1][1] != line:  # the first of a line
-                    out.append((name, line, *rest, start, since))
+                out.append((name, text.count("\n", 0, start) + 1, *rest, start, since))
         return out
 
 

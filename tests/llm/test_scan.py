@@ -109,6 +109,14 @@ def test_license_late_or_wrapped(text, want):
     assert [g[:2] for g in licenses.Scanner(licenses.TEMPLATES).scan(text)] == want
 
 
+def test_license_every_notice_of_a_line():
+    text = "Released under the MIT License. Licensed under CC BY 4.0. Licensed under CC BY 4.0. No license. " \
+           "Licensed under the BSD 3-Clause License."
+    got = licenses.Scanner(licenses.TEMPLATES).scan(text)
+    assert [g[0] for g in got] == ["MIT short", "CC-BY-4.0", "CC-BY-4.0", "BSD-3-Clause short"]
+    assert [text[g[-2]:g[-1]] + "." for g in got] == [licenses.TEMPLATES[g[0]] for g in got]
+
+
 PAGE = """<html><head><title>T</title><script>if (a<b) "</p>"</script><style>p{}</style></head><body>
 <header><h2>Site name</h2></header><nav><ul><li><a href=x>Home</a></li></ul></nav><div class="cookie-notice">We use cookies</div>
 %s<aside>See also</aside><form>Mail <input name=a></form><div id="comments"><p>Nice post</p></div><footer>&copy; us</footer></body></html>"""
