@@ -4,8 +4,9 @@ Markup is stripped: scripts, styles, forms, menus, page headers and footers, sid
 notices, adverts and comments give no text, inline tags vanish, and every block
 element starts a line. A line weighs the characters of its text outside links. Weights
 are summed over sliding windows of lines; the text surges where a window's sum reaches
-the threshold and dives where it falls to nothing, and the lines between the surge and
-dive points that hold the most text are kept. An article or main element, if a page
+the threshold and dives where it falls to nothing. Runs of lines between surge and dive,
+with the unlinked lines right before them, are kept if they hold a share ``RUN`` of the
+heaviest run's text. No element is left out by its class if it holds most of the text. An article or main element, if a page
 has one with text, bounds the lines looked at, and every line with text counts there.
 """
 
@@ -22,6 +23,8 @@ from ferret.llm.common import slices
 
 WINDOW = 3
 SURGE = 86
+#: A run of lines is kept if it holds this share of the heaviest run's text.
+RUN = 0.1
 
 # HTML element names by role.
 _RAW = "script|style|noscript|template|svg|math|textarea|iframe|object|select|title|canvas|audio|video"
@@ -44,17 +47,29 @@ _TOKEN = re.compile(rf"<!--.*?(?:-->|$)|<!\[CDATA\[(.*?)(?:\]\]>|$)|<[!?][^>]*(?
                     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|$)", re.S | re.I)
 
 
-def lines(page: str) -> list:
-    """[(text, weight, in article)] of the lines of a page that may hold its main text."""
+def lines(page: str, kept: frozenset = frozenset()) -> list:
+    """[(text, weight, in article)] of the lines of a page that may hold its main text.
+
+    ``kept``: numbers of elements that their class, id or role would leave out, but that
+    hold most of the page's unlinked text."""
     out, text, linked = [], [], 0
-    stack: list = []       # open elements: (name, skips, main)
+    mass: list = []        # unlinked text of each element left out by name
+    named: list = []       # those open now
+    total = 0
+    stack: list = []       # open elements: (name, skips, main, named)
     skips = mains = links = 0
     at = 0
 
     def add(piece: str):
-        nonlocal linked
+        nonlocal linked, total
         if piece and not skips:
             piece = html.unescape(piece)
+            if not links:
+                total += len(piece.strip())
+                for k in named:
+                    mass[k] += len(piece.strip())
+            if any(k not in kept for k in named):
+                return
             text.append(piece)
             if links:
                 linked += len(piece.strip())
@@ -81,9 +96,11 @@ def lines(page: str) -> list:
         if m[3]:
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
             if depth is not None:
-                for _, s, a in stack[depth:]:
+                for _, s, a, k in stack[depth:]:
                     skips -= s
                     mains -= a
+                    if k is not None:
+                        named.remove(k)
                 del stack[depth:]
             if name == "a":
                 links = 0
@@ -92,23 +109,31 @@ def lines(page: str) -> list:
             continue
         if name == "p":  # a paragraph ends where the next begins
             while stack and stack[-1][0] == "p":
-                stack.pop()
+                _, s, a, k = stack.pop()
+                skips -= s
+                mains -= a
+                if k is not None:
+                    named.remove(k)
         said = " ".join(x for n in _NAMED.findall(attrs) for x in n if x)
         main = name in ("article", "main") or bool(_MAIN.search(attrs))
-        skip = name in _SKIP or name not in ("html", "body", "article", "main") and bool(_BOILER.search(said))
-        if name == "article" and mains and _BOILER.search(said):
-            skip = True
+        skip, number = name in _SKIP, None
+        if name not in ("html", "body", "main") and (name != "article" or mains) and _BOILER.search(said):
+            number = len(mass)
         if mains and name == "header":
-            skip = False
+            skip, number = False, None
         links = 1 if name == "a" else links
         if name != "a":
-            stack.append((name, int(skip), int(main)))
+            if number is not None:
+                mass.append(0)
+                named.append(number)
+            stack.append((name, int(skip), int(main), number))
             skips += int(skip)
             mains += int(main)
     if not re.match(r"<[a-zA-Z/!?]", page[at:at + 2]):
         add(page[at:])
     flush()
-    return out
+    most = frozenset(k for k, m in enumerate(mass) if 2 * m > total)
+    return lines(page, most) if most and not kept else out
 
 
 def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
@@ -123,7 +148,7 @@ def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str
         return ""
     sums = [sum(weight[i:i + window]) for i in range(len(weight))]
     level = min(surge, max(sums) / 2)
-    best, i = (0, 0, 0), 0
+    runs, i = [], 0
     while i < len(sums):
         if sums[i] < level:
             i += 1
@@ -131,13 +156,15 @@ def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str
         start = i
         while start < len(weight) and not weight[start]:
             start += 1
+        while start and weight[start - 1] and (not runs or start > runs[-1][2]):
+            start -= 1  # title and short lead before the surge
         j = i
         while j < len(sums) and sums[j] > 0:
             j += 1
-        mass = sum(weight[start:j])
-        best = max(best, (mass, -start, j))
+        runs.append((sum(weight[start:j]), start, j))
         i = j + 1
-    return " ".join(x[0] for x in every[-best[1]:best[2]])
+    least = RUN * max(runs)[0]
+    return " ".join(x[0] for mass, start, j in runs if mass >= least for x in every[start:j])
 
 
 def extracted(pages: DataFrame) -> DataFrame:

@@ -133,6 +133,16 @@ def test_html_with_and_without_article():
         html_extract.main_text(page)
 
 
+def test_html_keeps_all_runs_and_text_under_odd_classes():
+    long, links = "<p>" + "plain words of the story go on and on " * 4 + "</p>", "<p><a href=x>See this</a></p>" * 5
+    text = html_extract.main_text(f"<h1>Title</h1><p>By me</p><p>Lead</p><p>More</p><p>So</p>{long}{links}<p>Second part.</p>{long}")
+    assert text.startswith("Title By me Lead More So plain") and "Second part. plain" in text
+    for page in (f"<div class='content has-sidebar'>{long}</div>",
+                 f"<main><article class='post hentry tag-python'>{long}</article></main>",
+                 f"<div class='site sidebar'>{long}<div class='sidebar'>Aside</div></div>"):
+        assert html_extract.main_text(page) == ("plain words of the story go on and on " * 4).strip()
+
+
 def test_pages_query(spark):
     import html as H
     rows = {r.page_id: r for r in queries.op5_html_extraction(spark, SF_MID).collect()}
