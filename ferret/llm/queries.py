@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ferret.llm import (brown_lm, decontaminate, html_extract, licenses, packing, quality_model, quality_rules, simhash,
-                        substring_dedup, toxicity)
+from ferret.llm import (brown_lm, decontaminate, html_extract, licenses, minhash, packing, quality_model, quality_rules, simhash,
+                        spelling, substring_dedup, toxicity, whitening)
 from ferret.llm.common import held_out, table
 
 
@@ -65,9 +65,26 @@ def op10_simhash(spark, sf_dir):
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op11_embedding_whitening(spark, sf_dir):
+    """Whitened coordinates: one row for each usable vector and component."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_spelling_variants(spark, sf_dir):
+    """One row for each frequent word, with the form and the root it is a variant of."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_minhash(spark, sf_dir):
+    """One row for each document, with the component of its near-duplicates."""
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_quality_classifier, op3_license_scan, op4_quality_rules, op5_html_extraction,
-    op6_substring_dedup, op7_toxicity, op8_best_fit_packing, op9_brown_lm, op10_simhash)}
+    op6_substring_dedup, op7_toxicity, op8_best_fit_packing, op9_brown_lm, op10_simhash,
+    op11_embedding_whitening, op12_spelling_variants, op13_minhash)}
 
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
