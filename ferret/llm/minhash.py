@@ -39,6 +39,8 @@ COORDINATES = BANDS * ROWS
 SPREAD = 5.6
 #: Members of a chunk of a crowded bucket, and of a cluster; shingles of a cluster's chunk.
 BUCKET_CHUNK, CLUSTER_CHUNK, CHUNK_SHINGLES = 2048, 512, 1 << 19
+#: Links of one task that joins them before the rounds begin.
+TASK_LINKS = 1 << 20
 #: Groups up to this size are compared densely, many at once.
 DENSE = 32
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -259,6 +261,44 @@ def _forests(rows: DataFrame, compare, percent: int) -> DataFrame:
             .mapInArrow(_link_groups(compare, percent), "a long, b long"))
 
 
+def _spanning(batches):
+    """Arrow function: links (a, b) -> (node, its component's smallest) inside the task."""
+    a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def forest():
+        nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+        u, v = ends[:len(a)], ends[len(a):]
+        root = np.arange(len(nodes))
+        while True:
+            low = np.minimum(root[u], root[v])
+            if (root[u] == low).all() and (root[v] == low).all():
+                break
+            np.minimum.at(root, root[u], low)
+            np.minimum.at(root, root[v], low)
+            while (root[root] != root).any():
+                root = root[root]
+        own = np.flatnonzero(root != np.arange(len(nodes)))
+        return nodes[own], nodes[root[own]]
+
+    for batch in batches:
+        a = np.concatenate([a, np.asarray(batch.column(0)).astype(np.int64)])
+        b = np.concatenate([b, np.asarray(batch.column(1)).astype(np.int64)])
+        if len(a) >= TASK_LINKS:
+            a, b = forest()
+            if 2 * len(a) >= TASK_LINKS:  # next to all links are needed: they leave as they are
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+                a, b = a[:0], b[:0]
+    a, b = forest()
+    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+
+def joined(links: DataFrame) -> DataFrame:
+    """``components`` of stored links. Tasks of TASK_LINKS links each first keep a star for
+    every component that they see, which leaves few rounds to join them."""
+    tasks = max(1, -(-links.count() // TASK_LINKS))
+    return components(links.repartition(tasks).mapInArrow(_spanning, "a long, b long"))
+
+
 def _chunk(parts):
     return F.pmod(F.xxhash64("node"), parts).cast("int")
 
@@ -277,7 +317,7 @@ def group_links(rows: DataFrame, compare, percent: int, chunk: int) -> DataFrame
     crowded = rows.where("parts > 1")
     if crowded.isEmpty():
         return found
-    label = components(found).select("node", F.col("root").alias("label"))
+    label = joined(found).select("node", F.col("root").alias("label"))
     named = stored(crowded.select("g", "node").join(label, "node", "left").select("g", "node", F.coalesce("label", "node").alias("label")))
     kinds = named.groupBy("g", "label").agg(F.count(F.lit(1)).alias("m"))
     # the largest component of each group that still has several
@@ -356,13 +396,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85, bucket
                     F.first(F.struct("bands", "codes")).alias("s")))
     reps = stored(classes.select("h1", "h2", "least", "n_shingles", "s.bands", "s.codes",
                                  F.monotonically_increasing_id().alias("node")))
-    clusters = components(_candidates(reps, percent, bucket_chunk)).withColumnRenamed("root", "g")
+    clusters = joined(_candidates(reps, percent, bucket_chunk)).withColumnRenamed("root", "g")
     members = checkpointed(clusters.join(reps.select("node", "h1", "h2", "least", F.col("n_shingles").alias("n")), "node"))
     parts = (members.groupBy("g").agg(F.min("node").alias("lead"), F.greatest(
         F.ceil(F.count(F.lit(1)) / F.lit(cluster_chunk)), F.ceil(F.sum("n") / F.lit(CHUNK_SHINGLES))).cast("int").alias("parts")))
     members = checkpointed(members.join(parts, "g"))
     sets = stored(_sets_of(docs, members, shingle).select("g", "node", "n", "lead", "parts", "data"))
-    stars = components(group_links(sets, _set_near, percent, cluster_chunk))
+    stars = joined(group_links(sets, _set_near, percent, cluster_chunk))
     rooted = (reps.select("node", "h1", "h2", "least").join(stars, "node", "left")
               .select("h1", "h2", "least", F.coalesce("root", "node").alias("root")))
     low = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
