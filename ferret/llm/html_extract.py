@@ -6,14 +6,16 @@ element starts a line. A line weighs the characters of its text outside links. W
 are summed over sliding windows of lines; the text surges where a window's sum reaches
 the threshold and dives where it falls to nothing. Runs of lines between surge and dive,
 with the unlinked lines right before them, are kept if they hold a share ``RUN`` of the
-heaviest run's text. No element is left out by its class if it holds most of the text. An article or main element, if a page
-has one with text, bounds the lines looked at, and every line with text counts there.
+heaviest run's text. No element is left out by its class if it holds most of the text.
+An article or main element, if a page has one with text, bounds the lines looked at; inside
+it the threshold is ``INSIDE`` and every run is kept.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,6 +27,8 @@ WINDOW = 3
 SURGE = 86
 #: A run of lines is kept if it holds this share of the heaviest run's text.
 RUN = 0.1
+#: Threshold of the lines inside an article or main element.
+INSIDE = 20
 
 # HTML element names by role.
 _RAW = "script|style|noscript|template|svg|math|textarea|iframe|object|select|title|canvas|audio|video"
@@ -43,7 +47,8 @@ _BOILER = re.compile(
     r"signup|login|search|pagination|pager|toolbar|widgets?|footer|masthead|site-header|page-header|site-footer|"
     r"complementary|contentinfo|skip-link|tags?|byline-share)(?:$|[\s_-])", re.I)
 _TOKEN = re.compile(rf"<!--.*?(?:-->|$)|<!\[CDATA\[(.*?)(?:\]\]>|$)|<[!?][^>]*(?:>|$)"
-                    rf"|<({_RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:>.*?(?:</\2\s*>|$)|$)"
+                    r"|<(?:svg|math)(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?<=/)>"
+                    rf"|<({_RAW})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:>.*?(?:</\2\s*>|$)|$)"
                     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|$)", re.S | re.I)
 
 
@@ -55,8 +60,9 @@ def lines(page: str, kept: frozenset = frozenset()) -> list:
     out, text, linked = [], [], 0
     mass: list = []        # unlinked text of each element left out by name
     named: list = []       # those open now
-    total = 0
+    total = hidden = 0     # hidden: open ones that are not kept
     stack: list = []       # open elements: (name, skips, main, named)
+    opened: Counter = Counter()  # their names
     skips = mains = links = 0
     at = 0
 
@@ -66,14 +72,28 @@ def lines(page: str, kept: frozenset = frozenset()) -> list:
             piece = html.unescape(piece)
             if not links:
                 total += len(piece.strip())
-                for k in named:
-                    mass[k] += len(piece.strip())
-            if any(k not in kept for k in named):
+                if named:
+                    mass[named[-1]] += len(piece.strip())
+            if hidden:
                 return
             text.append(piece)
             if links:
                 linked += len(piece.strip())
 
+    def close(depth: int):
+        """Close the open elements from this depth; what they hold counts for those around them."""
+        nonlocal skips, mains, hidden
+        while len(stack) > depth:
+            name, s, a, k = stack.pop()
+            opened[name] -= 1
+            skips -= s
+            mains -= a
+            if k is not None:
+                named.pop()
+                hidden -= k not in kept
+                if named:
+                    mass[named[-1]] += mass[k]
+
     def flush():
         nonlocal linked
         line = " ".join("".join(text).split())
@@ -94,14 +114,8 @@ def lines(page: str, kept: frozenset = frozenset()) -> list:
         if name in _BLOCK:
             flush()
         if m[3]:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            if depth is not None:
-                for _, s, a, k in stack[depth:]:
-                    skips -= s
-                    mains -= a
-                    if k is not None:
-                        named.remove(k)
-                del stack[depth:]
+            if opened[name]:
+                close(next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name))
             if name == "a":
                 links = 0
             continue
@@ -109,11 +123,7 @@ def lines(page: str, kept: frozenset = frozenset()) -> list:
             continue
         if name == "p":  # a paragraph ends where the next begins
             while stack and stack[-1][0] == "p":
-                _, s, a, k = stack.pop()
-                skips -= s
-                mains -= a
-                if k is not None:
-                    named.remove(k)
+                close(len(stack) - 1)
         said = " ".join(x for n in _NAMED.findall(attrs) for x in n if x)
         main = name in ("article", "main") or bool(_MAIN.search(attrs))
         skip, number = name in _SKIP, None
@@ -126,26 +136,28 @@ def lines(page: str, kept: frozenset = frozenset()) -> list:
             if number is not None:
                 mass.append(0)
                 named.append(number)
+                hidden += number not in kept
             stack.append((name, int(skip), int(main), number))
+            opened[name] += 1
             skips += int(skip)
             mains += int(main)
     if not re.match(r"<[a-zA-Z/!?]", page[at:at + 2]):
         add(page[at:])
     flush()
+    close(0)
     most = frozenset(k for k, m in enumerate(mass) if 2 * m > total)
     return lines(page, most) if most and not kept else out
 
 
 def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
     """The main text of one page; lines joined by one space."""
-    every = lines(page or "")
-    inside = [x for x in every if x[2]]
-    if inside:
-        return " ".join(x[0] for x in inside)
+    every, share = lines(page or ""), RUN
+    if any(x[2] for x in every):  # nothing around the element competes: low surges, all runs
+        every, share, surge = [x for x in every if x[2]], 0, min(surge, INSIDE)
     weight = [x[1] for x in every]
     total = sum(weight)
-    if not total:
-        return ""
+    if not total:  # only links: no surge, whole if an element bounds them
+        return "" if share else " ".join(x[0] for x in every)
     sums = [sum(weight[i:i + window]) for i in range(len(weight))]
     level = min(surge, max(sums) / 2)
     runs, i = [], 0
@@ -163,7 +175,7 @@ def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str
             j += 1
         runs.append((sum(weight[start:j]), start, j))
         i = j + 1
-    least = RUN * max(runs)[0]
+    least = share * max(runs)[0]
     return " ".join(x[0] for mass, start, j in runs if mass >= least for x in every[start:j])
 
 
