@@ -9,8 +9,8 @@ its rank within its size; a piece then takes the gap that was last pushed at its
 height. So one round is a rank within sizes and a match within heights, both
 distributed. Gaps shrink by what they took, and the next round begins.
 
-A size that many rows share is dealt over sub-groups by a hash, so no group is
-larger than ``GROUP`` rows. A gap that holds several of the largest pieces left is
+A size that many rows share is dealt over sub-groups by a hash, of ``GROUP`` rows, or
+more where that would make over ``GROUPS`` of them, which the driver sweeps. A gap that holds several of the largest pieces left is
 offered as that many slots. The first round opens as many sequences as the tokens
 fill, or as there are pieces over half the capacity; more are opened when a round
 places next to nothing.
@@ -25,111 +25,211 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ferret.llm.common import checkpointed, slices
+from ferret.llm import wordhash
+from ferret.llm.common import checkpointed, slices, texts_of
 
 CAPACITY = 2048
 GROUP = 4_000
-#: Words whose ids a worker remembers; it forgets all before the next slice when there are more.
-MEMO = 300_000
+#: Sub-groups of all sizes together: beyond it groups grow with the rows.
+GROUPS = 100_000
+#: Units of one text given to the tokenizer.
+UNITS = 200
+#: Words whose ids a worker remembers, and places where it looks for them; it forgets all
+#: before the next slice when there are more.
+MEMO, PLACES, TRIES = 1_000_000, 1 << 22, 8
 
 
-def _encoder(path: str | None, memo: int = MEMO):
-    """Function: texts -> their ids as little-endian unsigned 32-bit bytes. The tokenizer
-    never joins across white space, nor a letter with a full stop or comma after it, and
-    takes ASCII words in lower case: each such unit is encoded once. Units of letters
-    alone are encoded many at a time; each ends at the one id that closes a word."""
+def _learner(path: str | None):
+    """Function (data, start, end): words data[start:end] without white space -> (ids, sizes,
+    order), the ids of all of them one after another, how many each has, and which words
+    they are.
+
+    The tokenizer never joins across white space, and splits letters from a full stop or
+    comma after them unless the last one's normal form ends in a mark; such a pair is kept
+    whole. Units of letters alone are encoded many at a time, ASCII ones in lower case and
+    past the normal form and the rules that split words: each ends at the one id that closes
+    a word. No word of these is looked at by itself."""
     import public_tokenizers
     from tokenizers import Tokenizer, pre_tokenizers
 
     path = path or public_tokenizers.path("word_bpe_49k.json")
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
-    # lower-case ASCII letters need neither normal form nor the rules that split words
     plain = Tokenizer.from_file(path)
     plain.normalizer = None
     plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
     closes = np.zeros(tok.get_vocab_size() + 1, bool)
     closes[[i for t, i in tok.get_vocab().items() if t.endswith("</w>")]] = True
-    known: dict = {}
+    letter = np.zeros(256, bool)
+    letter[[*range(65, 91), *range(97, 123)]] = True
 
     def raw(unit):
-        return np.array(tok.encode(unit, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def together(units, by):
-        out: dict = {}
-        for i in range(0, len(units), 20_000):
-            part = units[i:i + 20_000]
-            texts = [" ".join(part[j:j + 200]) for j in range(0, len(part), 200)]
-            ids = np.concatenate([np.array(e.ids, "<u4") for e in by.encode_batch_fast(texts, add_special_tokens=False)])
-            cut = (4 * (np.flatnonzero(closes[ids]) + 1)).tolist()
-            if len(cut) != len(part):  # a letter whose lower case is no letter
-                out.update((t, raw(t)) for t in part)
-                continue
-            ids = ids.tobytes()
-            out.update(zip(part, map(ids.__getitem__, map(slice, [0, *cut[:-1]], cut))))
-        return out
+        return np.array(tok.encode(unit, add_special_tokens=False).ids, "<u4")
+
+    def batched(texts, by):
+        return np.concatenate([np.array(e.ids, "<u4") for e in by.encode_batch_fast(texts, add_special_tokens=False)])
 
     marks = {m: raw(m) for m in ".,"}
+    mark_of = np.zeros(256, np.int64)
+    mark_of[list(map(ord, marks))] = np.arange(1, len(marks) + 1)
+    mark_ids = np.concatenate([np.zeros(1, "<u4"), *marks.values()])
+    if len(mark_ids) != len(marks) + 1:  # a mark of several ids: leave pairs whole
+        mark_of[:] = 0
+    apart: dict = {}
+
+    def splits(c):
+        """Whether the tokenizer parts this letter from a mark after it."""
+        if c not in apart:
+            apart[c] = c.isalpha() and all(np.array_equal(raw(c + m), np.concatenate([raw(c), i])) for m, i in marks.items())
+        return apart[c]
 
-    def learn(words):
-        core, end, ascii_units, units, others = [], [], set(), set(), set()
-        words = list(words)
-        for w in words:
-            t = w.decode()
-            low = t.isascii()
-            if low:
-                t = t.lower()
-            if t[-1] in marks and t[-2:-1].isalpha():
-                end.append(marks[t[-1]])
-                t = t[:-1]
-            else:
-                end.append(b"")
+    def sized(ids, n):
+        """How many ids each of n units has, or None if one closes more than once."""
+        cut = np.flatnonzero(closes[ids]) + 1
+        return np.diff(cut, prepend=0) if len(cut) == n else None
+
+    def ascii_letters(data, start, end):
+        """(ids, sizes) of words of ASCII letters."""
+        size = end - start + 1
+        at = np.cumsum(size) - size
+        text = data[np.minimum(np.repeat(start - at, size) + np.arange(size.sum()), len(data) - 1)]
+        text = wordhash.LOWER[text]
+        text[at + size - 1] = 32
+        blob, cuts = text.tobytes().decode("ascii"), [*at[::UNITS].tolist(), len(text)]
+        ids = batched([blob[a:z] for a, z in zip(cuts, cuts[1:])], plain)
+        return ids, sized(ids, len(start))
+
+    def others(words):
+        """(ids, sizes) of words of any characters."""
+        core, last = [], np.zeros(len(words), np.int64)
+        for k, t in enumerate(words):
+            if t[-1] in marks and mark_of[ord(t[-1])] and len(t) > 1 and splits(t[-2]):
+                last[k], t = mark_of[ord(t[-1])], t[:-1]
             core.append(t)
-            (others if not t.isalpha() else ascii_units if low else units).add(t)
-        ids = together(list(ascii_units), plain) | together(list(units), tok) | {t: raw(t) for t in others}
-        known.update(zip(words, map(bytes.__add__, map(ids.__getitem__, core), end)))
+        out = [None] * len(core)
+        plainly = [k for k, t in enumerate(core) if t.isalpha()]
+        for i in range(0, len(plainly), 100 * UNITS):
+            part = plainly[i:i + 100 * UNITS]
+            ids = batched([" ".join(core[k] for k in part[j:j + UNITS]) for j in range(0, len(part), UNITS)], tok)
+            size = sized(ids, len(part))
+            if size is not None:  # else a letter has a normal form that is none
+                for k, one in zip(part, np.split(ids, np.cumsum(size)[:-1])):
+                    out[k] = one
+        alone = [k for k, o in enumerate(out) if o is None]
+        for i in range(0, len(alone), 100 * UNITS):
+            part = alone[i:i + 100 * UNITS]
+            for k, e in zip(part, tok.encode_batch_fast([core[k] for k in part], add_special_tokens=False)):
+                out[k] = np.array(e.ids, "<u4")
+        size = np.fromiter(map(len, out), np.int64, len(out))
+        return marked(np.concatenate(out), size, last) if out else (np.zeros(0, "<u4"), size)
+
+    def marked(ids, size, last):
+        """The ids with those of the marks after them."""
+        has = np.flatnonzero(last)
+        return np.insert(ids, np.cumsum(size)[has], mark_ids[last[has]]), size + (last > 0)
+
+    def learn(data, start, end):
+        final = data[end - 1]
+        last = np.where(end - start > 1, mark_of[final], 0)
+        count = np.concatenate([[0], np.cumsum(letter[data])])
+        core = end - (last > 0)
+        simple = count[core] - count[start] == core - start
+        mine = np.flatnonzero(simple)
+        rest = np.flatnonzero(~simple)
+        ids, size = ascii_letters(data, start[mine], core[mine]) if len(mine) else (np.zeros(0, "<u4"), np.zeros(0, np.int64))
+        ids, size = marked(ids, size, last[mine])
+        more, sizes = others([data[a:z].tobytes().decode() for a, z in zip(start[rest].tolist(), end[rest].tolist())])
+        return np.concatenate([ids, more]), np.concatenate([size, sizes]), np.concatenate([mine, rest])
 
-    def encode(texts):
-        if len(known) > memo:
-            known.clear()
-        words = [(t or "").encode().split() for t in texts]
-        found = [list(map(known.get, w)) for w in words]
-        new = [[k for k, i in enumerate(f) if i is None] for f in found]
-        learn({w[k] for w, at in zip(words, new) for k in at})
-        for w, f, at in zip(words, found, new):
-            for k in at:
-                f[k] = known[w[k]]
-        return [b"".join(f) for f in found]
+    return learn
+
+
+class _Words:
+    """The ids of known words in flat arrays. A word's 64-bit hash has TRIES places; a word
+    that finds all taken displaces one, which is then learnt anew when it comes again."""
+
+    def __init__(self, tokenizer: str | None, end_id: int, memo: int = MEMO, places: int = PLACES):
+        self.learn, self.memo, self.mask, self.end_id = _learner(tokenizer), memo, places - 1, end_id
+        self.forget()
+
+    def forget(self):
+        self.hash = np.zeros(self.mask + 1, np.uint64)
+        self.at = np.zeros(self.mask + 1, np.int32)  # word 0 is the end of a text
+        self.start, self.size, self.ids = np.zeros(1, np.int64), np.ones(1, np.int64), np.array([self.end_id], "<u4")
+
+    def _place(self, h, k):
+        return (h >> np.uint64(5 * k) & np.uint64(self.mask)).astype(np.int64)
+
+    def numbers(self, data, start, end):
+        """The number of each word data[start:end]."""
+        h = wordhash.hashes(data, start, end)
+        h[h == 0] = np.uint64(1)  # 0 marks a free place
+        at = self._place(h, 0)
+        out = np.where(self.hash[at] == h, self.at[at], 0)
+        miss = np.flatnonzero(out == 0)
+        for k in range(1, TRIES):
+            if not len(miss):
+                break
+            at = self._place(h[miss], k)
+            hit = self.hash[at] == h[miss]
+            out[miss[hit]] = self.at[at[hit]]
+            miss = miss[~hit]
+        if len(miss):
+            new, first, back = np.unique(h[miss], return_index=True, return_inverse=True)
+            at = miss[first]
+            ids, size, order = self.learn(data, start[at], end[at])
+            number = np.empty(len(new), np.int64)
+            number[order] = np.arange(len(self.size), len(self.size) + len(new))
+            self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(size) - size])
+            self.size = np.concatenate([self.size, size])
+            self.ids = np.concatenate([self.ids, ids])
+            left = np.arange(len(new))
+            for k in range(TRIES):
+                place = self._place(new[left], k)
+                free = self.hash[place] == 0 if k + 1 < TRIES else np.ones(len(left), bool)
+                self.hash[place[free]], self.at[place[free]] = new[left[free]], number[left[free]]
+                left = left[self.hash[place] != new[left]]  # of several for one place the last stays
+            out[miss] = number[back]
+        return out
 
-    return encode
+    def encode(self, data, offs):
+        """(ids, first): the ids of each text and its end id, and where they begin."""
+        if len(self.size) > self.memo:
+            self.forget()
+        start, end, word = wordhash.bounds(data, offs)
+        number = np.insert(self.numbers(data, start, end), word[1:], 0)
+        size = self.size[number]
+        total = np.cumsum(size)
+        ids = self.ids[np.repeat(self.start[number] - total + size, size) + np.arange(total[-1] if len(total) else 0)]
+        ends = word[1:] + np.arange(len(word) - 1)  # each text's end in ``number``
+        return ids, np.concatenate([[0], total[ends]]).astype(np.int64)
 
 
 def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): each text's ids and ``end_id``, cut into
     pieces of ``capacity``. Null text counts as empty. Narrow. ``tokenizer``: a file of
-    the `tokenizers` library whose rules never join across white space, on every node."""
+    the `tokenizers` library whose rules never join across white space, on every node.
+    Special tokens written out in a text are read as such, as the library does."""
     def run(batches):
-        import gc
         import os
         import sys
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         # reused workers keep the words they know from task to task
         memo = sys.modules.setdefault("_ferret_words", type(sys)("_ferret_words")).__dict__
-        encode = memo.get(tokenizer) or memo.setdefault(tokenizer, _encoder(tokenizer))
-        gc.freeze()  # the memo holds no cycles
-        end, most = np.uint32(end_id).astype("<u4").tobytes(), 4 * capacity
+        words = memo.get((tokenizer, end_id)) or memo.setdefault((tokenizer, end_id), _Words(tokenizer, end_id))
         for b in slices(batches, 1):
-            cols = [[], [], [], [], []]
-            for i, ids in zip(b.column(0).to_pylist(), encode(b.column(1).to_pylist())):
-                ids += end
-                for n, at in enumerate(range(0, len(ids), most)):
-                    part = ids[at:at + most]
-                    for c, v in zip(cols, (i, n, at // 4, len(part) // 4, zlib.crc32(part))):
-                        c.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (
-                pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
-                ["doc_id", "piece", "start", "length", "ids_crc32"])
+            ids, first = words.encode(*texts_of(b.column(1)))
+            n = -(-np.diff(first) // capacity)
+            doc = np.repeat(np.arange(len(n)), n)
+            piece = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
+            start = piece * capacity
+            length = np.minimum(capacity, np.diff(first)[doc] - start)
+            at = first[doc] + start
+            blob = memoryview(np.ascontiguousarray(ids).view(np.uint8))
+            crc = [zlib.crc32(blob[a:z]) for a, z in zip((4 * at).tolist(), (4 * (at + length)).tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).take(pa.array(doc)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
+                 pa.array(crc, pa.int64())], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
@@ -184,7 +284,8 @@ def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                 .unionByName(slots.select(F.lit(1).alias("kind"), "size", F.col("bin").alias("id"), "slot")))
         counts = {(0, k): n for k, n in sizes.items()}
         counts |= {(1, r["size"]): r["n"] for r in slots.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()}
-        parts = {k: -(-n // GROUP) for k, n in counts.items() if n > GROUP}
+        group = max(GROUP, -(-sum(counts.values()) // GROUPS))
+        parts = {k: -(-n // group) for k, n in counts.items() if n > group}
         if parts:  # at most 2 x capacity rows
             hot = F.broadcast(spark.createDataFrame([(k, z, n) for (k, z), n in parts.items()], "kind int, size long, parts int"))
             many = rows.join(hot, ["kind", "size"])

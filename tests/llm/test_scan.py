@@ -226,3 +226,42 @@ def test_rule_order_does_not_change_verdicts(spark):
     back = dict(reversed(list(quality_rules.rules().items())))
     assert sorted(map(tuple, quality_rules.judged(docs, back).collect())) == one
     assert all(len(words(r.text)) for r in docs.limit(5).collect())
+
+
+def _encoded(texts, **options):
+    import pyarrow as pa
+    from ferret.llm.common import texts_of
+    words = packing._Words(None, 0, **options)
+    out = []
+    for i in range(0, len(texts), 500):
+        part = texts[i:i + 500]
+        ids, first = words.encode(*texts_of(pa.array(part, pa.string())))
+        out += [ids[a:z].tolist() for a, z in zip(first[:-1], first[1:])]
+    return out
+
+
+def _plain(texts):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    return [[*tok.encode(t or "", add_special_tokens=False).ids, 0] for t in texts]
+
+
+def test_ids_of_every_letter_before_a_mark():
+    letters = [chr(c) for c in range(0x80, 0x20000) if chr(c).isalpha()]
+    every = letters[::37] + [c for c in letters if c.lower() != c and len(c.lower()) > 1] + [
+        chr(c) for c in (0x130, *range(0x958, 0x960), 0x9DC, 0x9DD, 0x9DF, 0xFB1D, 0xFB2A, 0x1E9E, 0x3A3, 0x345, 0x2126, 0x212A)]
+    texts = [f"{c}{m} x{c}{m}\ty{c}" for c in every for m in ".,"]
+    assert _encoded(texts) == _plain(texts)
+
+
+def test_ids_of_special_tokens_and_mixed_scripts():
+    import random
+    rnd = random.Random(9)
+    parts = ["<|endoftext|>", "<|startoftext|>", "ALİ", "KALDİ", "बड़", "हड़", "don't", "'re", "É", "é", "ß", "ﬁ", "Ω", "한국", "가",
+             "日本", "12", "٣", "_", "<|", "|>", "...", ",", ".", "!?", " ", " ", "\x1c", "\x85", "🙂", "a", "The", "‍", "İ", "x" * 40]
+    texts = ["a <|endoftext|> b", "x<|startoftext|>y", "<|ENDOFTEXT|>.", "ALİ. KALDİ, बड़, हड़.", None, "", " \n", " "]
+    texts += ["".join(rnd.choice(parts) + rnd.choice(["", "", " ", "\n", ".", ","]) for _ in range(rnd.randrange(1, 30))) for _ in range(1500)]
+    want = _plain(texts)
+    assert _encoded(texts) == want
+    assert _encoded(texts, memo=50, places=8) == want  # words displaced and forgotten
