@@ -84,6 +84,7 @@ class Model:
     shift: int
     sums: list  # of the dimensions, before the shift
     wide: bool  # whether centred rows need more than 64 bits
+    tasks: int  # that sum the partitions' vectors
     trace: float
     components: np.ndarray
     deviations: np.ndarray
@@ -105,19 +106,27 @@ def _each(batches):
         yield from zip(*(b.column(i).to_pylist() for i in range(b.num_columns)))
 
 
-def _totals(blocks: DataFrame, run) -> np.ndarray:
-    """The sum over all partitions of the vector that ``run`` (over block rows) gives."""
+def _totals(blocks: DataFrame, run, tasks: int) -> np.ndarray:
+    """The sum over all partitions of the vector that ``run`` (over block rows) gives. The
+    partitions' vectors are summed in ``tasks`` tasks, and theirs on the driver."""
     def vectors(batches):
         total = run(_each(batches))
         if total is not None:
-            yield pa.RecordBatch.from_pydict({"p": pa.array(np.arange(len(total)), pa.int32()), "v": pa.array(total, pa.float64())})
+            yield pa.RecordBatch.from_pydict({"v": pa.array([total.tolist()], pa.list_(pa.float64()))})
 
-    got = (blocks.select("kind", "x").mapInArrow(vectors, "p int, v double")
-           .groupBy("p").agg(F.sum("v").alias("v")).collect())
-    out = np.zeros(len(got))
-    for r in got:
-        out[r["p"]] = r["v"]
-    return out
+    def sums(batches):
+        return vectors_of(np.array(v) for (v,) in _each(batches))
+
+    def vectors_of(parts):
+        total = None
+        for v in parts:
+            total = v if total is None else total + v
+        if total is not None:
+            yield pa.RecordBatch.from_pydict({"v": pa.array([total.tolist()], pa.list_(pa.float64()))})
+
+    got = (blocks.select("kind", "x").mapInArrow(vectors, "v array<double>").repartition(tasks)
+           .mapInArrow(sums, "v array<double>").collect())
+    return np.sum([r["v"] for r in got], axis=0)
 
 
 def _product(model: Model):
@@ -136,7 +145,7 @@ def _product(model: Model):
                 total = part if total is None else total + part
             return total
 
-        got = _totals(model.blocks, run)
+        got = _totals(model.blocks, run, model.tasks)
         return got[:dim], got[dim:-2], got[-2], got[-1]
 
     return product
@@ -218,7 +227,8 @@ def fit(vectors: DataFrame, components: int = COMPONENTS, scale: int = SCALE, sh
     total = [0] * dim
     for r in got:
         total[r["p"]] = int(r["s"])
-    model = Model(blocks, n, dim, shift, total, 2 * n * size["top"] >= _EXACT, 0.0, np.zeros((dim, 0)), np.zeros(0))
+    model = Model(blocks, n, dim, shift, total, 2 * n * size["top"] >= _EXACT,
+                  max(1, round(blocks.rdd.getNumPartitions() ** 0.5)), 0.0, np.zeros((dim, 0)), np.zeros(0))
     product = _product(model)
     model.trace = product(np.zeros(dim), [])[3] / n
     if not model.trace:
@@ -252,7 +262,7 @@ def identity_error(model: Model) -> float:
                 part = w.sum(0) if mean is None else ((w - mean).T @ (w - mean)).ravel()
                 total = part if total is None else total + part
             return total
-        return _totals(model.blocks, run) / n
+        return _totals(model.blocks, run, model.tasks) / n
 
     covariance = over(over(None)).reshape(k, k)
     return float(np.abs(covariance - np.eye(k)).max())
