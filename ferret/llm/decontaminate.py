@@ -24,6 +24,8 @@ from ferret.llm.common import longs, slices, texts_of
 
 SEED = 3
 BLOCK_WORDS = 2_000_000
+#: Pairs of a hit and an item's place looked at together in a task.
+ENTRIES = 1 << 20
 #: Alignment scores of a word: equal, different, left out.
 EQUAL, OTHER, GAP = 1, -1, -1
 #: A passage is a leak if its score reaches this share of the item's words, or LONG, and LEAST words.
@@ -77,6 +79,8 @@ class Seeds:
         self.place = np.concatenate([np.arange(n) for n in size])[order] if g else np.zeros(0, np.int64)
         self.hash, at = np.unique(every[order], return_index=True)
         self.at = np.r_[at, len(every)]
+        self.items = len(items)
+        self.key = np.repeat(np.arange(len(self.hash)), np.diff(self.at)) * self.items + self.item  # rising
 
     def weights(self, count: np.ndarray) -> np.ndarray:
         """Rarity of each (seed, item) entry; ``count``: the corpus' hits of each hash."""
@@ -113,10 +117,24 @@ def seed_counts(docs: DataFrame, seeds) -> DataFrame:
 
 def _passages(h, first, g, seeds: Seeds, weight: np.ndarray, sizes: np.ndarray):
     """(doc, item, from, to): word ranges of texts around close hits of an item, those
-    of the rarest seeds first."""
+    of the rarest seeds first. Items are taken in ranges that bring at most about ENTRIES
+    pairs of a hit and an item's place at once, so common phrases don't need more memory."""
     at, k = seeds.hits(g)
-    n = seeds.at[k + 1] - seeds.at[k]
-    entry = np.repeat(seeds.at[k], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    if not len(at):
+        return
+    held, back, n = np.unique(k, return_inverse=True, return_counts=True)
+    size = seeds.at[held + 1] - seeds.at[held]
+    entry = np.repeat(seeds.at[held], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    brought = np.cumsum(np.bincount(seeds.item[entry], np.repeat(n, size), minlength=seeds.items))
+    cuts = np.unique(np.searchsorted(brought, np.arange(ENTRIES, brought[-1], ENTRIES), "left") + 1)
+    for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), seeds.items]):
+        begin = np.searchsorted(seeds.key, held * seeds.items + low)
+        end = np.searchsorted(seeds.key, held * seeds.items + high)
+        yield from _ranges(at, begin[back], (end - begin)[back], first, seeds, weight, sizes)
+
+
+def _ranges(at, begin, n, first, seeds: Seeds, weight: np.ndarray, sizes: np.ndarray):
+    entry = np.repeat(begin, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
     if not len(entry):
         return
     at = np.repeat(at, n)
