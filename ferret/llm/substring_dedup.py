@@ -65,7 +65,7 @@ def anchor_rows(docs: DataFrame, window: int) -> DataFrame:
 
 
 def window_rows(docs: DataFrame, window: int, filter_words) -> DataFrame:
-    """(h1, h2, doc_id, pos): windows whose anchor passes the filter."""
+    """(h1, h2, doc_id, row, pos): windows whose anchor passes the filter."""
     def run(batches):
         bits = filter_words.value
         for b in slices(batches, 1):
@@ -76,15 +76,15 @@ def window_rows(docs: DataFrame, window: int, filter_words) -> DataFrame:
             doc = W.owner(first)[at]
             yield pa.RecordBatch.from_arrays(
                 [longs(W.windows(h, window, 1)[at]), longs(W.windows(h, window, 2)[at]),
-                 b.column(0).take(pa.array(doc)), pa.array((at - first[doc]).astype(np.int32))],
-                ["h1", "h2", "doc_id", "pos"])
+                 *(b.column(k).take(pa.array(doc)) for k in (0, 2)), pa.array((at - first[doc]).astype(np.int32))],
+                ["h1", "h2", "doc_id", "row", "pos"])
 
-    return docs.mapInArrow(run, "h1 long, h2 long, doc_id long, pos int")
+    return docs.mapInArrow(run, "h1 long, h2 long, doc_id long, row long, pos int")
 
 
 def repeated_windows(docs: DataFrame, window: int = 50) -> DataFrame:
-    """(doc_id, starts array<int>): windows whose words also start in a smaller doc_id.
-    ``docs``: (doc_id, text) with one row per doc_id."""
+    """(doc_id, row, starts array<int>): windows whose words also start in a smaller doc_id.
+    ``docs``: (doc_id, text, row); doc_id and row together name a row."""
     seen = (anchor_rows(docs, window).groupBy("h").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
             .where("a < b").select("h"))
     filter_words = docs.sparkSession.sparkContext.broadcast(bit_filter(checkpointed(seen), "h"))
@@ -94,15 +94,15 @@ def repeated_windows(docs: DataFrame, window: int = 50) -> DataFrame:
     least = stored(rows.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
                    .where("least < most").select("h1", "h2", "least"))
     return (rows.join(least, ["h1", "h2"]).where("doc_id > least")
-            .groupBy("doc_id").agg(F.collect_list("pos").alias("starts")))
+            .groupBy("doc_id", "row").agg(F.collect_list("pos").alias("starts")))
 
 
 def _cut(window: int, texts: bool):
-    """Arrow function (doc_id, text, starts) -> what is left of each text."""
+    """Arrow function (doc_id, row, text, starts) -> what is left of each text."""
     def run(batches):
         for batch in batches:
-            ids, left, gone, sha = [], [], [], []
-            for i, t, s in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            left, gone, sha = [], [], []
+            for t, s in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 words = (t or "").encode().split()
                 step = np.zeros(len(words) + 1, np.int64)
                 s = np.asarray(s, np.int64)
@@ -110,59 +110,69 @@ def _cut(window: int, texts: bool):
                 np.add.at(step, s + window, -1)
                 keep = np.cumsum(step[:-1]) == 0
                 kept = b" ".join([words[k] for k in np.flatnonzero(keep)])
-                ids.append(i)
                 gone.append(int(len(words) - keep.sum()))
                 if texts:
                     left.append(kept.decode())
                 else:
                     sha.append(hashlib.sha256(kept).hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(gone, pa.int64()), pa.array(left if texts else sha, pa.string())],
-                ["doc_id", "n_removed", "kept"])
+                [batch.column(0), batch.column(1), pa.array(gone, pa.int64()), pa.array(left if texts else sha, pa.string())],
+                ["doc_id", "row", "n_removed", "kept"])
 
     return run
 
 
+def words_digest(text: str):
+    """The digest of ``digests`` of a text column, as a native expression."""
+    blank = r"[\x20\x09-\x0D]+"
+    joined = F.regexp_replace(F.coalesce(F.col(text).cast("string"), F.lit("")), blank, " ")
+    return F.sha2(F.trim(joined).cast("binary"), 256)
+
+
 def cut_repeats(docs: DataFrame, window: int = 50, texts: bool = False) -> DataFrame:
     """(doc_id, n_words, n_removed, kept) for every row of ``docs`` (doc_id, text).
 
     Each word covered by a window of ``window`` words whose sequence also starts in a
     document with a smaller doc_id is removed. ``kept``: the words left, joined by one
     space, if ``texts``, otherwise their SHA-256; with ``texts`` it is null where nothing
-    was removed (the text stays as it is). Null or empty texts have no words. A row with
-    null doc_id stays whole and covers nothing. Rows that repeat a doc_id are judged as
-    one document by the text that comes first in (word count, digest) order, and give
-    one row; with equal rows nothing is lost. An empty table gives an empty result.
+    was removed (the text stays as it is), and ``digest`` tells rows of one doc_id apart
+    (``words_digest`` of the row's text). Null or empty texts have no words. A row with
+    null doc_id stays whole and covers nothing. Rows that repeat a doc_id each give a
+    row: each is cut by its own words and its windows count as that document's. An empty
+    table gives an empty result.
     """
     named = _id_text(docs)
     all_digests = checkpointed(digests(named))
     anonymous = all_digests.where("doc_id is null")
-    per_id = all_digests.where("doc_id is not null").groupBy("doc_id").agg(
-        F.min(F.struct("n_words", "sha")).alias("d"), F.count(F.lit(1)).alias("rows"))
-    info = per_id.select("doc_id", "d.n_words", "d.sha")
-    first = info.where(F.col("n_words") >= window).groupBy("sha").agg(
-        F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    copies = checkpointed(info.join(first, "sha").where("doc_id > least").select("doc_id"))
-    marked = bounded(copies)
-    one = named.where("doc_id is not null").join(marked, "doc_id", "left_anti")
-    again = checkpointed(per_id.where("rows > 1").select("doc_id", "d.sha"))
-    if again.count():  # rows that repeat a doc_id: one of them speaks for it
-        chosen = (digested(one.join(bounded(again.select("doc_id")), "doc_id", "left_semi"))
-                  .join(again, ["doc_id", "sha"]).groupBy("doc_id").agg(F.min("text").alias("text")))
-        one = one.join(bounded(again.select("doc_id")), "doc_id", "left_anti").unionByName(checkpointed(chosen))
+    known = all_digests.where("doc_id is not null")
+    many = checkpointed(known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("doc_id"))
+    known, one = known.withColumn("row", F.lit(0).cast("long")), named.where("doc_id is not null").withColumn("row", F.lit(0).cast("long"))
+    if not many.isEmpty():  # rows that repeat a doc_id: one of each text
+        of_many = bounded(many)
+        own = F.xxhash64("sha")
+        known = known.join(of_many, "doc_id", "left_anti").unionByName(
+            known.join(of_many, "doc_id", "left_semi").withColumn("row", own))
+        more = (digested(one.join(of_many, "doc_id", "left_semi")).groupBy("doc_id", own.alias("row")).agg(F.min("text").alias("text")))
+        one = one.join(of_many, "doc_id", "left_anti").unionByName(stored(more.select("doc_id", "text", "row")))
+    # read back from storage, so that AQE can split the rows of a text with very many copies
+    first = stored(known.where(F.col("n_words") >= window).groupBy("sha").agg(
+        F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("sha", "least"))
+    copies = checkpointed(known.join(first, "sha").where("doc_id > least").select("doc_id", "row").distinct())
+    one = one.join(bounded(copies), ["doc_id", "row"], "left_anti").select("doc_id", "text", "row")
     found = checkpointed(repeated_windows(one, window))
-    hit = one.join(bounded(found.select("doc_id")), "doc_id", "left_semi").join(found, "doc_id")
-    cut = hit.select("doc_id", "text", "starts").mapInArrow(_cut(window, texts),
-                                                            "doc_id long, n_removed long, kept string")
-    gone = copies.select("doc_id", F.lit(None).cast("long").alias("n_removed"),
+    hit = one.join(bounded(found.select("doc_id", "row")), ["doc_id", "row"], "left_semi").join(found, ["doc_id", "row"])
+    cut = hit.select("doc_id", "row", "text", "starts").mapInArrow(_cut(window, texts),
+                                                                   "doc_id long, row long, n_removed long, kept string")
+    gone = copies.select("doc_id", "row", F.lit(None).cast("long").alias("n_removed"),
                          F.lit("" if texts else _EMPTY).alias("kept"))
     whole = F.lit(None).cast("string") if texts else F.col("sha")
-    out = info.join(cut.unionByName(gone), "doc_id", "left").select(
+    names = [F.col("sha").alias("digest")] if texts else []
+    out = known.join(cut.unionByName(gone), ["doc_id", "row"], "left").select(
         "doc_id", "n_words",
         F.when(F.col("kept").isNull(), F.lit(0)).otherwise(F.coalesce("n_removed", "n_words")).cast("long")
-        .alias("n_removed"), F.coalesce("kept", whole).alias("kept"))
+        .alias("n_removed"), F.coalesce("kept", whole).alias("kept"), *names)
     return out.unionByName(anonymous.select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"),
-                                            whole.alias("kept")))
+                                            whole.alias("kept"), *names))
 
 
 def digested(docs: DataFrame) -> DataFrame:

@@ -129,3 +129,36 @@ def test_cut_odd_rows(odd, empty):
     assert got[3].n_words == 0 and got[3].kept == hashlib.sha256(b"").hexdigest()
     assert sum(r.doc_id is None for r in rows) == 2 and len(rows) == len(got) + 2
     assert substring_dedup.cut_repeats(empty).collect() == []
+
+
+def brute_rows(rows, window=50):
+    """[(doc_id, n_words, n_removed, left)] of all rows, several of which may share a doc_id."""
+    held = {}
+    for i, t in rows:
+        w = words(t)
+        for k in range(len(w) - window + 1):
+            s = " ".join(w[k:k + window])
+            held[s] = min(i, held.get(s, i))
+    out = []
+    for i, t in rows:
+        w = words(t)
+        keep = [True] * len(w)
+        for k in range(len(w) - window + 1):
+            if held[" ".join(w[k:k + window])] < i:
+                keep[k:k + window] = [False] * window
+        out.append((i, len(w), len(w) - sum(keep), " ".join(x for x, y in zip(w, keep) if y)))
+    return sorted(out)
+
+
+def test_every_row_of_a_repeated_doc_id_speaks(spark):
+    import corpus_pipeline as P
+    a, b = " ".join(f"a{k}" for k in range(60)), " ".join(f"b{k}" for k in range(55))
+    rows = [(1, "x y"), (1, a), (2, a), (2, b), (2, b + " more"), (3, b), (3, "c " + a + " d"), (3, None), (4, a + "\n" + b), (4, a + " " + b)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute_rows(rows)
+    got = sorted((r.doc_id, r.n_words, r.n_removed, r.kept) for r in substring_dedup.cut_repeats(df).collect())
+    assert got == sorted((i, n, m, hashlib.sha256(t.encode()).hexdigest()) for i, n, m, t in want)
+    cut = P.cut_repeats(spark, df.withColumnRenamed("doc_id", "DOC_ID").withColumnRenamed("DOC_ID", "doc_id")
+                        .selectExpr("*", "1 AS __id", "2 AS __kept", "3 AS __digest", "4 AS __own"), "")
+    left = sorted((r.doc_id, " ".join(words(r.text))) for r in cut.collect())
+    assert left == sorted((i, t) for i, _, _, t in want) and cut.columns == ["doc_id", "text", "__id", "__kept", "__digest", "__own"]
