@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferret.functions.text import lines_of, tokens_of
-from ferret.operators import counts, exact, fuzzy, ingest, multi, search
+from ferret.operators import counts, exact, fuzzy, index, ingest, multi, search
 from ferret.plans import oracle as O
 from ferret.sources.tables import CORPORA, read_corpus, read_table
 
@@ -389,3 +389,26 @@ def q_fuzzy_multi_query(spark, sf_dir):
     vocab = df.select(F.explode(words_of(text)).alias("token"))
     return multi.fuzzy_search_many(lines_of(df, keys, text), benchmark_queries(spark, sf_dir), keys, 0.85,
                                    vocab=vocab)
+
+
+# ---------------------------------------------------------------- stored index (M1, M2 again and again)
+
+def documents_index(spark, sf_dir):
+    """An index of documents in two segments, as a corpus that grew once."""
+    import uuid
+
+    from ferret.session import ensure_checkpoint_dir
+    df, keys, text = read_corpus(spark, sf_dir, "documents")
+    stored = index.create_index(df.filter(F.col("doc_id") % 2 == 0), f"{ensure_checkpoint_dir(spark)}/{uuid.uuid4().hex}", keys, text)
+    stored.add(df.filter(F.col("doc_id") % 2 != 0), text)
+    return stored
+
+
+@register("index_exact_queries", _EXACT_MANY_SQL)
+def q_index_exact_queries(spark, sf_dir):
+    return documents_index(spark, sf_dir).exact_search_many(benchmark_queries(spark, sf_dir))
+
+
+@register("index_fuzzy_queries", SQL["fuzzy_multi_query"])
+def q_index_fuzzy_queries(spark, sf_dir):
+    return documents_index(spark, sf_dir).fuzzy_search_many(benchmark_queries(spark, sf_dir), 0.85)
