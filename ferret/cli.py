@@ -64,17 +64,17 @@ def _queries(spark: SparkSession, args):
 
 
 def run_search(spark: SparkSession, args) -> list:
-    from ferret.functions.text import lines_of
     from ferret.operators import multi
     from ferret.operators.fuzzy import fuzzy_search
-    from ferret.sources.files import read_lines
+    from ferret.sources.files import read_lines, text_lines
 
     if args.dir:
         lines, keys = read_lines(spark, args.dir, mode=args.mode), ["file"]
     else:
         keys = args.key or ["doc_id"]
-        docs = spark.read.parquet(args.table).select(*keys, args.text)
-        lines = lines_of(docs, keys, args.text)
+        table = spark.read.parquet(args.table)
+        chunked = [c for c in ("first_line",) if c in table.columns]
+        lines = text_lines(table.select(*keys, *chunked, args.text), keys, args.text)
     queries = _queries(spark, args)
     if args.fuzzy and len(args.query) == 1 and not args.queries_file:  # any cutoff, 0 included
         hits = fuzzy_search(lines, args.query[0], keys, args.cutoff).select(F.lit(0).cast("long").alias("query_id"), "*")

@@ -155,7 +155,12 @@ def convert(classified: DataFrame, name_col: str = "name", content_col: str = "c
     return out.drop("_c")
 
 
-def _family(stem) -> F.Column:
+def name_stem() -> F.Column:
+    """A source's plain output name without '.txt'."""
+    return F.concat(F.col("head"), F.lit(" ("), F.col("label"), F.lit(")"))
+
+
+def name_family(stem) -> F.Column:
     """An output name without '.txt' and without trailing numbers: names can only meet
     within one family, since a numbered name adds a number to a plain one."""
     return F.regexp_replace(stem, r"( \([0-9]+\))+$", "")
@@ -182,15 +187,15 @@ def output_names(converted: DataFrame, name_col: str = "name", existing: DataFra
     earlier source holds. Only names are read and shuffled. A group is a family of names, the
     spellings of one head in one folder, so it stays small. ``name_col`` names a source once.
     """
-    stem = F.concat(F.col("head"), F.lit(" ("), F.col("label"), F.lit(")"))
+    stem = name_stem()
     family = Window.partitionBy("_family")
     sources = (converted.filter(F.col("status").isin("success", "unsure"))
-               .select(F.col(name_col).alias("name"), "head", "label", stem.alias("_stem"), _family(stem).alias("_family"))
+               .select(F.col(name_col).alias("name"), "head", "label", stem.alias("_stem"), name_family(stem).alias("_family"))
                .withColumn("_rank", F.row_number().over(family.orderBy("name")) - 1)
                .withColumn("_mixed", (F.min("_stem").over(family) != F.max("_stem").over(family)).cast("int")))
     spark = converted.sparkSession
     taken = (spark.createDataFrame([], "out_name string") if existing is None else existing.select("out_name"))
-    taken = taken.withColumn("_family", _family(F.regexp_replace("out_name", r"\.txt$", "")))
+    taken = taken.withColumn("_family", name_family(F.regexp_replace("out_name", r"\.txt$", "")))
     if existing is not None:
         sources = sources.join(taken.select("_family", F.lit(1).alias("_held")).distinct(), "_family", "left")
         sources = sources.withColumn("_mixed", F.greatest("_mixed", F.coalesce("_held", F.lit(0)))).drop("_held")
@@ -210,21 +215,25 @@ def name_outputs(converted: DataFrame, name_col: str = "name", existing: DataFra
     return converted.join(names, F.col(name_col) == F.col("_name"), "left").drop("_name")
 
 
+def _sources(converted: DataFrame) -> DataFrame:
+    """One row for each source: the first chunk stands for a text in several."""
+    return converted.filter(F.col("chunk_no") == 0) if "chunk_no" in converted.columns else converted
+
+
 def report(converted: DataFrame) -> DataFrame:
     """One row: success, fail, unsure, skip (zeros included)."""
-    return converted.agg(*[F.count_if(F.col("status") == s).cast("bigint").alias(s) for s in STATUSES])
+    return _sources(converted).agg(*[F.count_if(F.col("status") == s).cast("bigint").alias(s) for s in STATUSES])
 
 
 def report_verbose(converted: DataFrame) -> DataFrame:
     """Only the statuses that occur: (status, files)."""
-    return converted.groupBy("status").agg(F.count(F.lit(1)).alias("files"))
+    return _sources(converted).groupBy("status").agg(F.count(F.lit(1)).alias("files"))
 
 
 def removal_manifest(converted: DataFrame, name_col: str = "name") -> DataFrame:
     """Sources the reference would delete (converted or copied); we only list them."""
-    return converted.filter(F.col("status").isin("success", "unsure")).select(name_col, "out_name") \
-        if "out_name" in converted.columns else \
-        converted.filter(F.col("status").isin("success", "unsure")).select(name_col)
+    written = _sources(converted).filter(F.col("status").isin("success", "unsure"))
+    return written.select(name_col, *[c for c in ("out_name",) if c in converted.columns])
 
 
 def inventory(files: DataFrame, name_col: str = "name", types=DEFAULT_TYPES,
@@ -267,44 +276,60 @@ def with_rank(df: DataFrame, order_cols, rank_col: str = "rank") -> DataFrame:
             .drop("_pid", "_mid", "_first", "_before"))
 
 
-# A binaryFile row holds the whole file: files above this size cannot be read.
+# A binaryFile row holds the whole file: a codec cannot be given more than this.
 MAX_FILE_BYTES = (1 << 31) - 1
 CAUSE_TOO_LARGE = "XX The file has {length} bytes, more than one row can hold"
 
 
 def ingest_files(spark, path: str, codecs: dict | None = None, types=DEFAULT_TYPES,
                  type_match: str = "member", existing: DataFrame | None = None,
-                 max_file_bytes: int = MAX_FILE_BYTES) -> DataFrame:
-    """Convert every file directly in ``path``: path, name, ext, handler, status, message, out_name, text.
-
-    One ``binaryFile`` scan; plain copies decode natively, codec rows go through
-    the registry in Arrow batches; a failing codec marks its row 'fail'. A file larger
-    than ``max_file_bytes`` does not fit a row and is not read here (the size filter is
-    pushed into the scan): a plain one has its usual status, message and name with null
-    text, and its lines come from ``convert_plain_lines``; one for a codec is a 'fail'.
+                 max_file_bytes: int = MAX_FILE_BYTES, chunk_bytes: int | None = None) -> DataFrame:
+    """Convert every file directly in ``path``: path, name, ext, handler, status, message, out_name,
+    chunk_no, first_line, text.
+
+    Hidden names and empty files count like others. Plain copies decode natively; codec
+    rows go through the registry in Arrow batches, and a failing codec marks its row
+    'fail'. A plain file of over ``chunk_bytes`` (64 MB, or ``max_file_bytes`` if that is
+    less) has a row for each of its chunks of whole lines (see ``read_chunks``), so no
+    size is left out; all others have one row with chunk_no 0. A file of over
+    ``max_file_bytes`` for a codec, which needs the whole, is a 'fail' that names its size.
     """
-    from ferret.sources.files import read_binary
-
-    small = read_binary(spark, path).filter(F.col("length") <= F.lit(max_file_bytes))
-    conv = convert(classify(small, "name", types, type_match), "name", "content", text_input=False, codecs=codecs)
-    big = classify(read_binary(spark, path, with_content=False)
-                   .filter(F.col("length") > F.lit(max_file_bytes)), "name", types, type_match)
-    big = (big.withColumn("status", F.when(F.col("handler") == "skip", "skip")
-                          .when(F.col("handler") == "plain", "unsure").otherwise("fail"))
-           .withColumn("text", F.lit(None).cast("string"))
-           .withColumn("message", F.when(F.col("status") == "skip", fill(MSG_SKIP, name=F.col("name")))
-                       .when(F.col("status") == "unsure", fill(MSG_UNSURE, ext=F.col("ext"), name=F.col("name")))
-                       .otherwise(fill(MSG_FAIL, cause=fill(CAUSE_TOO_LARGE, length=F.col("length")),
-                                       name=F.col("name")))))
+    from ferret.sources.files import CHUNK_BYTES, read_binary, read_chunks
+
+    whole = min(max_file_bytes, CHUNK_BYTES if chunk_bytes is None else chunk_bytes)
+    spare = [c for c in codecs or {} if c in CODEC_HANDLERS]
+    listing = classify(read_binary(spark, path, with_content=False), "name", types, type_match)
+    limit = F.when(F.col("handler") == "plain", F.lit(whole)).otherwise(F.lit(max_file_bytes))
+    big = listing.filter((F.col("length") > limit) & (F.col("handler") != "skip"))
+    # bodies of what no handler takes are not read
+    bodies = classify(read_binary(spark, path, most=max_file_bytes), "name", types, type_match)
+    taken = (F.col("handler") == "plain") & (F.col("length") <= F.lit(whole))
+    taken = taken | (F.col("ext").isin(spare) & (F.col("handler") != "plain")) if spare else taken
+    small = (bodies.withColumn("content", F.when(taken, F.col("content")))
+             .filter(~((F.col("handler") == "plain") & (F.col("length") > F.lit(whole)))))
+    left = listing.filter((F.col("handler") == "skip") & (F.col("length") > F.lit(max_file_bytes))).withColumn("content", F.lit(None).cast("binary"))
     cols = ["path", "name", "ext", "head", "label", "handler", "status", "message", "text"]
-    named = name_outputs(conv.select(*cols).unionByName(big.select(*cols)), "name", existing)
-    return named.select("path", "name", "ext", "handler", "status", "message", "out_name", "text")
+    conv = convert(small.unionByName(left.select(small.columns)), "name", "content", text_input=False, codecs=codecs).select(cols)
+    big = (big.withColumn("status", F.when(F.col("handler") == "plain", "unsure").otherwise("fail"))
+           .withColumn("text", F.lit(None).cast("string"))
+           .withColumn("message", F.when(F.col("status") == "unsure", fill(MSG_UNSURE, ext=F.col("ext"), name=F.col("name")))
+                       .otherwise(fill(MSG_FAIL, cause=fill(CAUSE_TOO_LARGE, length=F.col("length")), name=F.col("name")))))
+    named = name_outputs(conv.unionByName(big.select(cols)), "name", existing)
+    out = ["path", "name", "ext", "handler", "status", "message", "out_name", "chunk_no", "first_line", "text"]
+    one = named.withColumn("chunk_no", F.lit(0).cast("long")).withColumn("first_line", F.lit(1).cast("long"))
+    long_ = (F.col("handler") == "plain") & F.col("text").isNull()
+    if big.filter("handler = 'plain'").isEmpty():
+        return one.select(out)
+    chunks = read_chunks(spark, path, over=whole, chunk_bytes=whole)
+    return one.filter(~long_).select(out).unionByName(named.filter(long_).drop("text").join(chunks, "path").select(out))
 
 
 def write_texts(converted: DataFrame, out_path: str, mode: str = "errorifexists") -> None:
-    """Sink: the converted texts as a Parquet table (out_name, text), searchable directly."""
-    (converted.filter(F.col("status").isin("success", "unsure") & F.col("text").isNotNull())
-     .select("out_name", "text").write.mode(mode).parquet(out_path))
+    """Sink: the converted texts as a Parquet table (out_name, chunk_no, first_line, text), whose
+    lines ``sources.files.text_lines`` gives. Without chunks: (out_name, text)."""
+    more = [c for c in ("chunk_no", "first_line") if c in converted.columns]
+    (converted.filter(F.col("status").isin("success", "unsure"))
+     .select("out_name", *more, "text").write.mode(mode).parquet(out_path))
 
 
 def convert_plain_lines(spark, path: str, types=DEFAULT_TYPES, type_match: str = "member",

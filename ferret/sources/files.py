@@ -18,20 +18,18 @@ File names are given as they are on disk (``_metadata`` columns hold them URL-en
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ferret.functions.text import lines_of
 from ferret.session import ensure_checkpoint_dir
+from ferret.sources.listing import file_pieces, glob_regex, list_folder
 
 MODES = ("PERMISSIVE", "DROPMALFORMED", "FAILFAST")
 
 
-def _text_scan(spark: SparkSession, path: str, glob: str) -> DataFrame:
-    # recursiveFileLookup stays off: one directory level, like the searcher.
-    return spark.read.format("text").option("pathGlobFilter", glob).load(path)
-
-
 def plain_path(col) -> Column:
     """A path or name of ``_metadata`` as it is on disk: URL escapes decoded (a plus sign
     is no blank here), ``file:///`` written as Hadoop prints it (``file:/``)."""
@@ -52,7 +50,8 @@ def read_lines(spark: SparkSession, path: str, glob: str = "*.txt", mode: str =
                whole_file_bytes: int | None = None) -> DataFrame:
     """Numbered lines of every file matching ``glob`` directly in ``path``.
 
-    Columns: file (base name), path, line_no (1-based), line.
+    Columns: file (base name), path, line_no (1-based), line. Names that begin with a dot
+    or an underscore count like others.
     ``mode`` for bad UTF-8: PERMISSIVE replaces bad bytes with U+FFFD,
     DROPMALFORMED drops every file with a bad line, FAILFAST raises.
 
@@ -64,10 +63,21 @@ def read_lines(spark: SparkSession, path: str, glob: str = "*.txt", mode: str =
     mode = mode.upper()
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
+    seen = _seen_lines(spark, lambda r: r.option("pathGlobFilter", glob).load(path), mode, whole_file_bytes)
+    return seen.unionByName(_hidden_lines(spark, path, glob, mode))
+
+
+def read_file_lines(spark: SparkSession, paths: list, mode: str = "PERMISSIVE", whole_file_bytes: int | None = None) -> DataFrame:
+    """The same for the named files (not folders), names as on disk."""
+    plain = [re.sub(r"([\\\[\]{}*?])", r"\\\1", p) for p in paths]  # a path is a glob to the reader
+    return _seen_lines(spark, lambda r: r.load(plain), mode.upper(), whole_file_bytes)
+
+
+def _seen_lines(spark: SparkSession, load, mode: str, whole_file_bytes: int | None) -> DataFrame:
     if whole_file_bytes is None:
         whole_file_bytes = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
     size = F.col("_metadata.file_size")
-    small = (spark.read.format("text").option("pathGlobFilter", glob).option("wholetext", "true").load(path)
+    small = (load(spark.read.format("text").option("wholetext", "true"))
              .filter(size <= F.lit(whole_file_bytes))
              .select(*_file(), F.col("value").alias("_raw")))
     if mode == "DROPMALFORMED":
@@ -76,11 +86,27 @@ def read_lines(spark: SparkSession, path: str, glob: str = "*.txt", mode: str =
     # then a leading byte-order mark is dropped, as the line reader does.
     text = F.regexp_replace(_utf8(F.col("_raw"), mode), "^\uFEFF", "")
     small_lines = lines_of(small.select("file", "path", text.alias("text")), ["file", "path"], "text")
-    large_lines = _split_lines(spark, _text_scan(spark, path, glob).filter(size > F.lit(whole_file_bytes)),
-                               mode)
+    # recursiveFileLookup stays off: one directory level, like the searcher.
+    large_lines = _split_lines(spark, load(spark.read.format("text")).filter(size > F.lit(whole_file_bytes)), mode)
     return small_lines.unionByName(large_lines)
 
 
+def _hidden_lines(spark: SparkSession, path: str, glob: str, mode: str) -> DataFrame:
+    """The lines of files whose names Spark's readers skip."""
+    hidden = _listed(spark, path, glob).where("hidden and length > 0")
+    ensure_checkpoint_dir(spark)
+    raw = file_pieces(hidden, CHUNK_BYTES)
+    if mode == "DROPMALFORMED":
+        raw = raw.checkpoint(eager=True)
+        bad = raw.where(~F.is_valid_utf8(F.col("content").cast("string"))).select("path").distinct()
+        raw = raw.join(bad, "path", "left_anti")
+    text = _breaks(F.validate_utf8(F.col("content").cast("string")) if mode == "FAILFAST" else F.col("content").cast("string"))
+    text = F.when(F.col("start") == 0, F.regexp_replace(text, "^\uFEFF", "")).otherwise(text)
+    chunks = _numbered(raw.select("path", F.col("start").alias("_p"), F.lit(0).alias("_q"), text.alias("text")))
+    named = chunks.withColumn("file", F.regexp_extract("path", r"([^/]*)$", 1))
+    return text_lines(named, ["file", "path"])
+
+
 def _bytes(v: str) -> int:
     v = str(v).strip().lower()
     units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
@@ -119,40 +145,96 @@ def read_texts(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame
     return df.select(*_file(), F.make_valid_utf8("value").alias("text"))
 
 
-def read_binary(spark: SparkSession, path: str, glob: str | None = None, with_content: bool = True) -> DataFrame:
+def read_binary(spark: SparkSession, path: str, glob: str | None = None, with_content: bool = True,
+                most: int = (1 << 31) - 1) -> DataFrame:
     """Source documents: path, name, length, modificationTime (and content).
 
-    Without ``content`` the column is pruned and no file body is read (listing only).
-    Zero-byte files, which ``binaryFile`` leaves out, come from a listing with empty content.
+    Without ``content`` no file body is read: the rows are the folder's listing. With it,
+    ``binaryFile`` reads what Spark's readers see (files over ``most`` bytes are left out
+    before they are read); hidden names come from the listing's own reader, zero-byte
+    files from the listing alone.
     """
+    cols = ["path", "name", "length", "modificationTime"]
+    listed = _listed(spark, path, glob)
+    if not with_content:
+        return listed.select(cols)
     r = spark.read.format("binaryFile")
     if glob:
         r = r.option("pathGlobFilter", glob)
-    df = r.load(path).withColumn("path", plain_path("_metadata.file_path"))
-    cols = ["path", F.regexp_extract("path", r"([^/]*)$", 1).alias("name"), "length", "modificationTime"]
-    empty = _empty_files(spark, path, glob).withColumn("length", F.lit(0).cast("long"))
-    if with_content:
-        cols.append("content")
-        empty = empty.withColumn("content", F.lit(b""))
-    return df.select(*cols).unionByName(empty.select(*cols))
-
-
-def _empty_files(spark: SparkSession, path: str, glob: str | None) -> DataFrame:
-    """(path, modificationTime) of the zero-byte files directly in ``path``."""
-    jvm = spark._jvm
-    hadoop = jvm.org.apache.hadoop.fs
-    folder = hadoop.Path(path)
-    fs = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    test = hadoop.GlobFilter(glob) if glob else None
-    found = []
-    listing = fs.listStatusIterator(folder) if fs.exists(folder) else None  # page by page
-    while listing is not None and listing.hasNext():
-        f = listing.next()
-        name = f.getPath().getName()
-        if f.isFile() and f.getLen() == 0 and name[:1] not in "._" and (test is None or test.accept(f.getPath())):
-            found.append((f.getPath().toString(), f.getModificationTime()))
-    return (spark.createDataFrame(found, "path string, ms long")
-            .select("path", F.timestamp_millis("ms").alias("modificationTime")))
+    seen = (r.load(path).filter((F.col("length") > 0) & (F.col("length") <= F.lit(most)))
+            .withColumn("path", plain_path("_metadata.file_path"))
+            .withColumn("name", F.regexp_extract("path", r"([^/]*)$", 1)).select(*cols, "content"))
+    rest = listed.where("length = 0 or hidden").where(F.col("length") <= F.lit(most))
+    content = file_pieces(rest, most).select("path", "content")
+    return seen.unionByName(rest.select(cols).join(content, "path"))
+
+
+def _listed(spark: SparkSession, path: str, glob: str | None) -> DataFrame:
+    """The files, not the directories, directly in ``path``."""
+    listed = list_folder(spark, path).where("not is_dir")
+    return listed.where(F.col("name").rlike(glob_regex(glob))) if glob else listed
+
+
+#: Text of one chunk of a long file.
+CHUNK_BYTES = 64 << 20
+
+
+def read_chunks(spark: SparkSession, path: str, glob: str = "*", over: int = 0, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """path, chunk_no, first_line, text: the files of over ``over`` bytes directly in ``path``, as
+    chunks of whole lines near ``chunk_bytes`` long, numbered from 0, whatever the size of
+    a file. The chunks of a file together are its text with line breaks made ``\\n``;
+    ``first_line`` numbers a chunk's first line in the file. One line must fit a row.
+
+    Splits are read in parallel, cut at ``\\n`` and joined again chunk by chunk inside each
+    split. What a line reader hides, a final line break and a byte-order mark, follows from
+    the bytes that a file has beyond those of its lines.
+    """
+    ensure_checkpoint_dir(spark)
+    scan = (spark.read.format("text").option("lineSep", "\n").option("pathGlobFilter", glob).load(path)
+            .filter(F.col("_metadata.file_size") > F.lit(over)))
+    rows = scan.select(plain_path("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_b"),
+                       F.col("_metadata.file_size").alias("_size"), F.monotonically_increasing_id().alias("_mid"), "value",
+                       (F.octet_length("value") + 1).cast("long").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("path", "_b").orderBy("_mid").rowsBetween(Window.unboundedPreceding, -1))
+    lines = rows.withColumn("_c", F.floor(F.coalesce(before, F.lit(0)) / F.lit(chunk_bytes)))
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_mid", "value"))), lambda x: x["value"]), "\n")
+    chunks = (lines.groupBy("path", "_b", "_c").agg(body.alias("_body"), F.sum("_n").alias("_n"), F.max("_size").alias("_size"))
+              .checkpoint(eager=True))
+    # bytes of a file beyond its lines: 3 of a byte-order mark, one less without a final line break
+    ends = (chunks.groupBy("path").agg((F.max("_size") - F.sum("_n")).alias("_d"), F.min(F.struct("_b", "_c")).alias("_first"),
+                                       F.max(F.struct("_b", "_c")).alias("_last")))
+    place = F.struct("_b", "_c")
+    text = F.concat(F.when((place == F.col("_first")) & (F.col("_d") >= 2), F.lit("\ufeff")).otherwise(""), F.col("_body"),
+                    F.when((place == F.col("_last")) & F.col("_d").isin(-1, 2), F.lit("")).otherwise("\n"))
+    seen = chunks.join(ends, "path").select("path", F.col("_b").alias("_p"), F.col("_c").alias("_q"), _breaks(text).alias("text"))
+    hidden = _listed(spark, path, glob).where("hidden").where(F.col("length") > F.lit(over))
+    pieces = file_pieces(hidden, chunk_bytes).select("path", F.col("start").alias("_p"), F.lit(0).cast("long").alias("_q"),
+                                                     _breaks(F.col("content").cast("string")).alias("text"))
+    return _numbered(seen.unionByName(pieces))
+
+
+def _breaks(text) -> Column:
+    return F.regexp_replace(F.make_valid_utf8(text), r"\r\n|\r", "\n")
+
+
+def _numbered(pieces: DataFrame) -> DataFrame:
+    """chunk_no and first_line of pieces (path, _p, _q, text) in the order of _p, _q."""
+    pieces = pieces.withColumn("_k", F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))).checkpoint(eager=True)
+    file = Window.partitionBy("path").orderBy("_p", "_q")
+    before = F.sum("_k").over(file.rowsBetween(Window.unboundedPreceding, -1))
+    numbers = pieces.select("path", "_p", "_q", (F.row_number().over(file) - 1).cast("long").alias("chunk_no"),
+                            (F.coalesce(before, F.lit(0)) + 1).cast("long").alias("first_line"))
+    return (pieces.select("path", "_p", "_q", "text").join(numbers, ["path", "_p", "_q"])
+            .select("path", "chunk_no", "first_line", "text"))
+
+
+def text_lines(texts: DataFrame, key_cols, text_col: str = "text") -> DataFrame:
+    """Numbered lines of a table of texts; where a text is one chunk of several (column
+    ``first_line``), its lines are numbered as those of the whole text."""
+    if "first_line" not in texts.columns:
+        return lines_of(texts, key_cols, text_col)
+    lines = lines_of(texts, key_cols, text_col, keep_cols=["first_line"])
+    return lines.select(*key_cols, (F.col("line_no") + F.col("first_line") - 1).alias("line_no"), "line")
 
 
 def read_type_list(spark: SparkSession, path: str) -> DataFrame:
