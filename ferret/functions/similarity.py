@@ -3,7 +3,8 @@
 ``ratio = 2*M / (len(a) + len(b))`` with ``M`` the matched characters of the
 recursive longest-block matching. Spark has no built-in equal (``levenshtein``
 and ``soundex`` are other measures), so the ratio itself runs in an
-Arrow-batched pandas UDF. Before it, two bounds that are never below the ratio
+Arrow-batched pandas UDF: the matching blocks of all pairs of a batch at once, as sweeps
+over arrays of code points (``ratios``). Before it, two bounds that are never below the ratio
 run as native columns and drop almost every word:
 
 * length bound: ``2*min(la, lb) / (la + lb)``
@@ -15,6 +16,7 @@ every word whose ratio reaches the cutoff (``autojunk`` only lowers the ratio).
 
 from collections import Counter
 
+import numpy as np
 import pandas as pd
 
 from pyspark.sql import Column
@@ -64,8 +66,94 @@ def char_bound(tok: Column, q: str) -> Column:
 
 
 def bounds_pass(tok: Column, q: str, cutoff: float) -> Column:
-    """Both bounds as one predicate; the length test comes first and is cheap."""
-    return (length_bound(tok, len(q)) >= F.lit(cutoff)) & (char_bound(tok, q) >= F.lit(cutoff))
+    """Both bounds as one predicate. The lengths that pass the length bound are counted here,
+    with its own arithmetic, so a word of another length costs one comparison."""
+    n = len(q)
+    top = int(n * (2.0 - cutoff) / cutoff) + 2 if cutoff > 0 else None
+    if top is None or top > 100_000:
+        return (length_bound(tok, n) >= F.lit(cutoff)) & (char_bound(tok, q) >= F.lit(cutoff))
+    fits = [t for t in range(1, top + 1) if 2.0 * min(t, n) / (t + n) >= cutoff]  # neighbours: it rises to n, then falls
+    if not fits:
+        return F.lit(False)
+    return F.length(tok).between(fits[0], fits[-1]) & (char_bound(tok, q) >= F.lit(cutoff))
+
+
+# Fixed value: from this length of the second word on, difflib leaves out frequent characters.
+AUTOJUNK_LENGTH = 200
+# Cells (pairs x characters x characters) of one sweep.
+SWEEP_CELLS = 1 << 21
+
+
+def _longest(a, b, alo, ahi, blo, bhi):
+    """(size, start in a, start in b) of the longest common block of each pair of windows;
+    the earliest in a, then in b, of equally long ones. a, b: rows of code points."""
+    rows, width = b.shape
+    column = np.arange(width)
+    inside = (column >= blo[:, None]) & (column < bhi[:, None])
+    run = np.zeros((rows, width + 1), np.int32)
+    size, at_a, at_b = (np.zeros(rows, np.int64) for _ in range(3))
+    for i in range(int(alo.min()), int(ahi.max())):
+        same = (b == a[:, i, None]) & inside & ((alo <= i) & (i < ahi))[:, None]
+        run[:, 1:] = np.where(same, run[:, :-1] + 1, 0)
+        j = run.argmax(1)
+        k = run[np.arange(rows), j]
+        more = k > size
+        size[more], at_a[more], at_b[more] = k[more], i + 1 - k[more], j[more] - k[more]
+    return size, at_a, at_b
+
+
+def _matched(a, b, la, lb):
+    """Characters in matching blocks of each pair, block by block on all open windows."""
+    total, pair = np.zeros(len(a), np.int64), np.arange(len(a))
+    window = np.stack([np.zeros(len(a), np.int64), la, np.zeros(len(a), np.int64), lb])
+    while len(pair):
+        size, i, j = _longest(a[pair], b[pair], *window)
+        np.add.at(total, pair, size)
+        alo, ahi, blo, bhi = window
+        window = np.concatenate([np.stack([alo, i, blo, j]), np.stack([i + size, ahi, j + size, bhi])], 1)
+        keep = np.tile(size > 0, 2) & (window[0] < window[1]) & (window[2] < window[3])
+        pair, window = np.tile(pair, 2)[keep], window[:, keep]
+    return total
+
+
+def _points(words, width):
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    flat = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")
+    out = np.zeros((len(words), width), np.uint32)
+    out[np.arange(width) < size[:, None]] = flat
+    return out
+
+
+def ratios(first: list, second: list):
+    """``SequenceMatcher(None, a, b).ratio()`` of each pair, bit by bit."""
+    from difflib import SequenceMatcher
+
+    la = np.fromiter(map(len, first), np.int64, len(first))
+    lb = np.fromiter(map(len, second), np.int64, len(second))
+    out = np.empty(len(first))
+    long_ = (lb >= AUTOJUNK_LENGTH) | (la >= AUTOJUNK_LENGTH)
+    for k in np.flatnonzero(long_).tolist():
+        out[k] = SequenceMatcher(None, first[k], second[k]).ratio()
+    order = np.flatnonzero(~long_)
+    order = order[np.argsort(la[order] * lb[order], kind="stable")]
+    start = 0
+    while start < len(order):  # pairs of like size together
+        stop, cells = start + 1, 0
+        step = max(1, SWEEP_CELLS // max(1, int(la[order[start]] * lb[order[start]])))
+        stop = min(len(order), start + step)
+        while True:
+            part = order[start:stop]
+            wa, wb = max(1, int(la[part].max())), max(1, int(lb[part].max()))
+            cells = len(part) * wa * wb
+            if cells <= 2 * SWEEP_CELLS or len(part) == 1:
+                break
+            stop = start + max(1, len(part) // 2)
+        a, b = [first[k] for k in part.tolist()], [second[k] for k in part.tolist()]
+        both = la[part] + lb[part]
+        matched = _matched(_points(a, wa), _points(b, wb), la[part], lb[part])
+        out[part] = np.where(both > 0, 2.0 * matched / np.maximum(both, 1), 1.0)
+        start = stop
+    return out
 
 
 def score_udf(query: str):
@@ -74,27 +162,15 @@ def score_udf(query: str):
     ``select_score`` is what chooses the word: ``ratio(a=token, b=lower(query))``.
     ``confidence`` is what is reported: ``ratio(a=query, b=token)`` (raw case,
     swapped arguments), so it may be below the cutoff. Each distinct token of a
-    batch is scored once per task and the results are mapped back by code.
+    batch is scored once and the results are mapped back by code.
     """
     qlow = query.lower()
-    memo: dict = {}
 
     @F.pandas_udf(SCORE_TYPE)
     def score(tokens: pd.Series) -> pd.DataFrame:
-        from difflib import SequenceMatcher
-
-        import numpy as np
-
         codes, uniques = pd.factorize(tokens, use_na_sentinel=False)
-        sel = np.empty(len(uniques), dtype="float64")
-        conf = np.empty(len(uniques), dtype="float64")
-        for i, t in enumerate(uniques):
-            r = memo.get(t)
-            if r is None:
-                r = (SequenceMatcher(None, t, qlow).ratio(), SequenceMatcher(None, query, t).ratio())
-                if len(memo) < MEMO_LIMIT:
-                    memo[t] = r
-            sel[i], conf[i] = r
+        words = list(uniques)
+        sel, conf = ratios(words, [qlow] * len(words)), ratios([query] * len(words), words)
         return pd.DataFrame({"select_score": sel[codes], "confidence": conf[codes]})
 
     return score
@@ -120,32 +196,31 @@ def best_word_udf(query: str, cutoff: float):
 
     @F.pandas_udf(BEST_TYPE)
     def best(cands: pd.Series) -> pd.DataFrame:
-        from difflib import SequenceMatcher
-
-        toks, sels, confs = [], [], []
+        # what this batch brings anew is scored at once
+        new = list({t for arr in cands for t in arr if t not in sel_memo})
+        if len(sel_memo) + len(new) > MEMO_LIMIT:
+            sel_memo.clear()
+            new = list({t for arr in cands for t in arr})
+        sel_memo.update(zip(new, ratios(new, [qlow] * len(new)).tolist()))
+        toks, sels = [], []
         for arr in cands:
             bt, bs = None, -1.0
             for t in arr:
-                s = sel_memo.get(t)
-                if s is None:
-                    s = SequenceMatcher(None, t, qlow).ratio()
-                    if len(sel_memo) < MEMO_LIMIT:
-                        sel_memo[t] = s
+                s = sel_memo[t]
                 if s >= cutoff and (s > bs or (s == bs and t > bt)):
                     bt, bs = t, s
             if bt is None:
                 toks.append(None)
                 sels.append(None)
-                confs.append(None)
                 continue
-            c = conf_memo.get(bt)
-            if c is None:
-                c = SequenceMatcher(None, query, bt).ratio()
-                if len(conf_memo) < MEMO_LIMIT:
-                    conf_memo[bt] = c
             toks.append(bt)
             sels.append(bs)
-            confs.append(c)
+        chosen = list({t for t in toks if t is not None and t not in conf_memo})
+        if len(conf_memo) + len(chosen) > MEMO_LIMIT:
+            conf_memo.clear()
+            chosen = list({t for t in toks if t is not None})
+        conf_memo.update(zip(chosen, ratios([query] * len(chosen), chosen).tolist()))
+        confs = [None if t is None else conf_memo[t] for t in toks]
         return pd.DataFrame({"matched_token": toks, "select_score": sels, "confidence": confs})
 
     return best
@@ -153,24 +228,10 @@ def best_word_udf(query: str, cutoff: float):
 
 def pair_score_udf():
     """Pandas UDF over (token, query) pairs, for many queries at once."""
-    memo: dict = {}
-
     @F.pandas_udf(SCORE_TYPE)
     def score(tokens: pd.Series, queries: pd.Series) -> pd.DataFrame:
-        from difflib import SequenceMatcher
-
-        import numpy as np
-
-        sel = np.empty(len(tokens), dtype="float64")
-        conf = np.empty(len(tokens), dtype="float64")
-        for i, (t, q) in enumerate(zip(tokens.tolist(), queries.tolist())):
-            r = memo.get((t, q))
-            if r is None:
-                r = (SequenceMatcher(None, t, q.lower()).ratio(), SequenceMatcher(None, q, t).ratio())
-                if len(memo) < MEMO_LIMIT:
-                    memo[(t, q)] = r
-            sel[i], conf[i] = r
-        return pd.DataFrame({"select_score": sel, "confidence": conf})
+        words, raw = tokens.tolist(), queries.tolist()
+        return pd.DataFrame({"select_score": ratios(words, [q.lower() for q in raw]), "confidence": ratios(raw, words)})
 
     return score
 

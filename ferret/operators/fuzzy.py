@@ -74,7 +74,7 @@ def vocabulary(docs: DataFrame, text_col: str) -> DataFrame:
     texts need no line split): its distinct words leave with how often the row holds
     them, and one hash aggregation by word follows.
     """
-    words = F.array_sort(words_of(text_col))
+    words = F.sort_array(words_of(text_col))  # native order, no comparator
     run = docs.select(words.alias("_w")).select("_w", F.posexplode("_w").alias("_i", "token"))
     first = run.select("token", (F.col("_i") == 0).alias("_a"), F.get("_w", F.col("_i") - 1).alias("_p"))
     return (first.select("token", F.when(F.col("_a") | (F.col("_p") != F.col("token")), 1).otherwise(0).alias("_d"))

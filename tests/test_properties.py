@@ -40,3 +40,31 @@ def test_pinned_lower(spark):
     r = spark.range(1).select(F.lower(F.lit("İ")).alias("i"), F.lower(F.lit("ΑΣ")).alias("s")).first()
     assert r.i == "İ".lower() == "i̇"
     assert r.s == "ας"
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.tuples(st.text("abcé ", max_size=14), st.text("abcé ", max_size=14)), max_size=30))
+def test_ratios_of_a_batch_are_those_of_difflib(pairs):
+    from difflib import SequenceMatcher
+
+    from ferret.functions.similarity import ratios
+    a, b = [p[0] for p in pairs], [p[1] for p in pairs]
+    assert ratios(a, b).tolist() == [SequenceMatcher(None, x, y).ratio() for x, y in pairs]
+
+
+def test_ratios_of_long_and_unlike_lengths():
+    import random
+    from difflib import SequenceMatcher
+
+    from ferret.functions import similarity
+    rnd = random.Random(3)
+    word = lambda: "".join(rnd.choice("aabİ\U0001F642") for _ in range(rnd.choice([0, 1, 2, 9, 60, 199, 200, 260])))
+    a, b = [word() for _ in range(300)], [word() for _ in range(300)]
+    want = [SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)]
+    old = similarity.SWEEP_CELLS
+    try:
+        for cells in (old, 50):
+            similarity.SWEEP_CELLS = cells
+            assert similarity.ratios(a, b).tolist() == want
+    finally:
+        similarity.SWEEP_CELLS = old
