@@ -46,8 +46,9 @@ def test_line_scan_rules(spark, corpus):
     # the BOM is dropped by the line reader (documented divergence)
     assert got["bom.txt"] == [(1, "hello")]
     assert got["bad.txt"] == [(1, "ok"), (2, "bad �� byte")]
-    # suffix is case-sensitive, no recursion; '.'/'_' names are hidden by Spark (documented)
-    for name in ("UP.TXT", "s.txt", ".hid.txt", "_und.txt"):
+    # suffix is case-sensitive, no recursion; names that Spark's readers hide count like others
+    assert got[".hid.txt"] == [(1, "hidden")] and got["_und.txt"] == [(1, "underscore")]
+    for name in ("UP.TXT", "s.txt"):
         assert name not in got
 
 

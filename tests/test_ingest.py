@@ -108,7 +108,7 @@ def test_convert_then_search_files(spark, tmp_path):
     assert close == want and ("b (PY).txt", 1, "licence") in close
 
 
-def test_oversized_files_keep_their_status(spark, tmp_path):
+def test_oversized_files_keep_status_and_text(spark, tmp_path):
     d = tmp_path / "big"
     d.mkdir()
     (d / "huge.md").write_bytes(b"x" * 5000)
@@ -116,7 +116,7 @@ def test_oversized_files_keep_their_status(spark, tmp_path):
     (d / "huge.bin").write_bytes(b"y" * 5000)
     rows = {r.name: r for r in ingest.ingest_files(spark, str(d), max_file_bytes=1000).collect()}
     assert rows["small.md"].status == "unsure" and rows["small.md"].text == "fine\n"
-    assert rows["huge.md"].status == "unsure" and rows["huge.md"].text is None
+    assert rows["huge.md"].status == "unsure" and rows["huge.md"].text == "x" * 5000  # one line is never cut
     assert rows["huge.md"].out_name == "huge (MD).txt"
     assert rows["huge.bin"].status == "skip"
 
