@@ -128,4 +128,16 @@ kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS t FRO
 SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
   sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)""",
+    "op13_minhash": r"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(words[p:p + 2], ' ') AS g
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 1, 2))) AS p FROM d WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+near AS (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)),
+ways AS (SELECT a, b FROM near UNION ALL SELECT b, a FROM near),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, ways.b FROM reach JOIN ways ON ways.a = reach.b)
+SELECT a AS doc_id, CAST(coalesce(max(n), 0) AS BIGINT) AS n_shingles, min(b) AS component_id, a = min(b) AS kept
+FROM reach LEFT JOIN n ON n.doc_id = a GROUP BY a""",
 }
