@@ -70,15 +70,16 @@ def fuzzy_scores(tokens: DataFrame, query: str, cutoff: float = DEFAULT_CUTOFF)
 def vocabulary(docs: DataFrame, text_col: str) -> DataFrame:
     """Distinct words with occurrence and document counts; ``docs`` has one row per document.
 
-    A document's words are counted in its row (line breaks are whitespace, so whole
-    texts need no line split): its distinct words leave with how often the row holds
-    them, and one hash aggregation by word follows.
+    A document leaves its words twice, all of them and each once, as two arrays of their own
+    rows, and one hash aggregation by word follows. (Line breaks are whitespace, so whole
+    texts need no line split. An array carried beside its exploded words would be copied
+    for every word, which is quadratic in a text's length.)
     """
-    words = F.sort_array(words_of(text_col))  # native order, no comparator
-    run = docs.select(words.alias("_w")).select("_w", F.posexplode("_w").alias("_i", "token"))
-    first = run.select("token", (F.col("_i") == 0).alias("_a"), F.get("_w", F.col("_i") - 1).alias("_p"))
-    return (first.select("token", F.when(F.col("_a") | (F.col("_p") != F.col("token")), 1).otherwise(0).alias("_d"))
-            .groupBy("token").agg(F.count(F.lit(1)).alias("occurrences"), F.sum("_d").cast("bigint").alias("docs")))
+    arrays = docs.select(words_of(text_col).alias("_w")).select(F.explode(F.array(
+        F.struct(F.lit(1).alias("all"), F.col("_w").alias("words")),
+        F.struct(F.lit(0).alias("all"), F.array_distinct("_w").alias("words")))).alias("_s"))
+    return (arrays.select("_s.all", F.explode("_s.words").alias("token")).groupBy("token")
+            .agg(F.sum("all").cast("bigint").alias("occurrences"), F.sum(1 - F.col("all")).cast("bigint").alias("docs")))
 
 
 def format_confidence(col) -> F.Column:

@@ -44,8 +44,24 @@ def test_corpus_is_never_broadcast(spark, key):
         assert "documents.parquet" not in sub, sub
 
 
-def test_many_query_fuzzy_uses_hash_aggregates(spark):
-    plan = _plan(spark, "fuzzy_multi_query")
+def test_many_queries_move_no_line(spark):
+    """With queries of a checked size a line is searched for all of them where it is read."""
+    for key in ("fuzzy_multi_query", "exact_multi_query"):
+        plan = _plan(spark, key).split("== Initial Plan ==")[0]
+        assert "documents.parquet" in plan and not re.search("SortMergeJoin|Aggregate.*line", plan)
+        scan = plan.index("documents.parquet")
+        above = [x for x in plan[:scan].split("\n") if "Exchange" in x and "Broadcast" not in x]
+        assert not any("line" in x for x in above), plan
+
+
+def test_many_query_fuzzy_beyond_the_broadcast_uses_hash_aggregates(spark):
+    from ferret.operators import multi
+    from ferret.plans import catalog
+    lines, keys = catalog.corpus_lines(spark, SF_SMALL, "documents")
+    scored = spark.createDataFrame([("a", "1", 1.0, 1.0, 1)], "token string, query_id string, select_score double, confidence double, _r long")
+    df = multi._best_by_groups(lines.select(*keys, "line_no", "line"), scored, keys)
+    df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and "HashAggregate" in plan
 
 
