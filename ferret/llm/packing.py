@@ -36,7 +36,7 @@ GROUPS = 100_000
 UNITS = 200
 #: Words whose ids a worker remembers, and places where it looks for them; it forgets all
 #: before the next slice when there are more.
-MEMO, PLACES, TRIES = 1_000_000, 1 << 22, 8
+MEMO, PLACES, TRIES = 500_000, 1 << 20, 8
 
 
 def _learner(path: str | None):
