@@ -1,19 +1,21 @@
 """Class-based bigram language model with Brown classes from exchange clustering.
 
-All words of the training texts are counted. The ``HEADS`` most frequent ones, the
-``ENDINGS`` groups of the others by their last three bytes, and the end of a text are
-the units of the class model. Unit bigrams are counted over all training texts into a
-table of at most (HEADS + ENDINGS + 2)^2 rows; exchange clustering moves one unit
-after another to the class that raises the likelihood of the class bigrams most. A
-text's probability is the product of class transitions, unit emissions and, for words
-outside the heads, the word's share in its ending's group, all with additive smoothing.
-
-Counts of the ``KNOWN`` most frequent words travel to the tasks (a fixed bound); the
-counts of all others come by a join on the word's hash.
+All words of the training texts are counted and each has a class of its own choice.
+The classes start from a small table: the ``HEADS`` most frequent words and ``ENDINGS``
+groups of the others by their last three bytes are exchanged on the driver. From there
+every counted word moves by exchange in Spark rounds: the classes beside each word are
+counted over all training texts, dealt by word, and the word goes to the class that
+raises the likelihood of the class bigrams most, if by more than a class is worth (``LEAVE``).
+A word that was not seen has the class of its ending's words of one occurrence. A text's probability is the product of
+class transitions and of word emissions, with additive smoothing.
+
+Counts and classes of the ``KNOWN`` most frequent words travel to the tasks (a fixed
+bound); those of all others come by a join on the word's hash.
 """
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,6 +28,13 @@ from ferret.llm.common import longs, slices, stored, texts_of
 
 HEADS, ENDINGS, CLASSES, KNOWN = 1024, 256, 64, 1 << 18
 ROUNDS = 8
+#: Rounds of the known words, a part of them at a time as words that move at once do not see each
+#: other; they end earlier when no part moves with a higher likelihood.
+WORD_ROUNDS, PARTS = 2, 2
+#: A word leaves its class for a gain (in nats) above what naming one of the classes costs: less is chance.
+LEAVE = float(np.log(CLASSES))
+#: A word of more occurrences is taken out of the table exactly, one of fewer only from its own class.
+DENSE = 64
 #: Pseudo-counts of a class transition and of an emission.
 SMOOTH, EMIT = 0.1, 0.5
 #: Different words that a task gathers before it merges them.
@@ -63,44 +72,135 @@ def word_counts(texts: DataFrame) -> DataFrame:
             .groupBy("h").agg(F.max("ending").alias("ending"), F.sum("n").alias("n")))
 
 
-def _units(h, ending, heads):
-    """Unit of each word: its rank among the heads, or HEADS + ending."""
-    key, unit = heads
-    if not len(key):
-        return HEADS + ending
-    k = np.minimum(np.searchsorted(key, h), len(key) - 1)
-    return np.where(key[k] == h, unit[k], HEADS + ending)
-
-
 _END, _START = HEADS + ENDINGS, HEADS + ENDINGS + 1
 _SIZE = HEADS + ENDINGS + 2
+_M = CLASSES + 2  # classes of words, then those of the end and of the start
+#: What stands beside a word: class before, class after (from _M), the word itself (_SELF),
+#: and from _RARE the classes before and after that are of words outside the known.
+_SELF, _RARE, _CELLS = 2 * _M, 2 * _M + 1, 512
 
 
-def _sequence(unit, first):
-    """(unit before, unit) of every word and end of a batch's texts, and the text of each."""
-    n = len(first) - 1
-    out = np.full(len(unit) + n, _END)
-    doc = np.repeat(np.arange(n), np.diff(first) + 1)
-    at = np.arange(len(unit)) + W.owner(first)
-    out[at] = unit
-    before = np.concatenate([[_START], out[:-1]]) if len(out) else out
-    before[first[:-1] + np.arange(n)] = _START
-    return before, out, doc
+def _places(key: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each of ``h`` stands in the sorted ``key``, and whether it does."""
+    if not len(key):
+        return np.zeros(len(h), np.int64), np.zeros(len(h), bool)
+    k = np.minimum(np.searchsorted(key, h), len(key) - 1)
+    return k, key[k] == h
 
 
-def bigrams(texts: DataFrame, heads) -> DataFrame:
-    """(k, n): unit bigrams, k = before * _SIZE + unit, summed per task first."""
+def coded(texts: DataFrame, known) -> DataFrame:
+    """(codes, rest): the words of ``texts`` in order, some texts a row, as int32: the rank of
+    a known word, -1 for the end of a text, -2 - ending for the others, whose hashes are ``rest``."""
     def run(batches):
-        total = np.zeros(_SIZE * _SIZE, np.int64)
+        key, rank = known.value
         for b in slices(batches, 0):
             h, ending, first = tokens(b.column(0))
-            before, unit, _ = _sequence(_units(h, ending, heads.value), first)
-            k, n = np.unique(before * _SIZE + unit, return_counts=True)
-            total[k] += n
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), longs(total[at])], ["k", "n"])
+            k, found = _places(key, h)
+            out = np.full(len(h) + b.num_rows, -1, np.int32)
+            out[np.arange(len(h)) + W.owner(first)] = np.where(found, rank[k], -2 - ending) if len(key) else -2 - ending
+            yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary()), pa.array([h[~found].tobytes()], pa.binary())],
+                                             ["codes", "rest"])
+
+    return texts.select("text").mapInArrow(run, "codes binary, rest binary")
+
+
+def _read(batches):
+    """(codes, rest) of each row of a coded table."""
+    for b in batches:
+        for c, r in zip(b.column(0), b.column(1)):
+            yield np.frombuffer(c.as_buffer(), np.int32), np.frombuffer(r.as_buffer(), np.uint64)
+
+
+def _table(seqs: DataFrame, of_code, size: int, pairs=None) -> np.ndarray:
+    """Bigram counts (before, at) of the coded texts, ``of_code`` (broadcast) giving each code's
+    row; the last two rows are the end and the start. ``pairs``: count those only where it holds."""
+    def run(batches):
+        lut, total = of_code.value, np.zeros(size * size, np.int64)
+        for codes, _ in _read(batches):
+            at = lut[codes].astype(np.int64)
+            before = np.concatenate([[size - 1], np.where(codes[:-1] == -1, size - 1, at[:-1])]) if len(at) else at
+            if pairs is not None:
+                ok = pairs(codes)
+                before, at = before[ok], at[ok]
+            total += np.bincount(before * size + at, minlength=size * size)
+        k = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), longs(total[k])], ["k", "n"])
+
+    def packed(batches):  # few bytes a count for the driver
+        for b in batches:
+            k, n = b.column(0).to_numpy(), b.column(1).to_numpy()
+            order = np.argsort(k)
+            yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(x.tobytes(), 1)], pa.binary()) for x in
+                                              (np.diff(k[order], prepend=np.int32(0)), n[order])], ["k", "n"])
+
+    sums = seqs.mapInArrow(run, "k int, n long").groupBy("k").agg(F.sum("n").alias("n"))
+    out = np.zeros(size * size)
+    for r in sums.mapInArrow(packed, "k binary, n binary").collect():
+        out[np.cumsum(np.frombuffer(zlib.decompress(r["k"]), np.int32))] = np.frombuffer(zlib.decompress(r["n"]), np.int64)
+    return out.reshape(size, size)
+
+
+def _all_known(codes: np.ndarray) -> np.ndarray:
+    """Where neither a word nor the one before it is outside the known."""
+    rare = codes < -1
+    return ~(rare | np.concatenate([[False], rare[:-1]]))
+
+
+_BESIDE = "w long, own short, cells array<long>"
 
-    return texts.select("text").mapInArrow(run, "k int, n long").groupBy("k").agg(F.sum("n").alias("n"))
+
+def _beside(w, own, start, cells):
+    at = np.flatnonzero(start)
+    return pa.RecordBatch.from_arrays(
+        [longs(w[at]), pa.array(own[at].astype(np.int16)),
+         pa.ListArray.from_arrays(pa.array(np.r_[at, len(w)].astype(np.int32)), longs(cells))], ["w", "own", "cells"])
+
+
+def beside(seqs: DataFrame, of_code, part: int | None) -> DataFrame:
+    """(w, own, cells): for a part of the known words (w: rank) or all others (None; w: hash) their
+    class and what stands beside them, as count * _CELLS + cell, summed per task or row first; w comes in several rows."""
+    known = part is not None
+
+    def run(batches):
+        lut = of_code.value
+        have = (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+        def rows(key, n):
+            w = key // _CELLS
+            return _beside(w, lut[w], np.r_[True, w[1:] != w[:-1]][:len(w)], n * _CELLS + key % _CELLS)
+
+        for codes, rest in _read(batches):
+            at = lut[codes].astype(np.int64)
+            rare = codes < -1
+            if known:
+                i, word = np.flatnonzero((codes >= 0) & (codes % PARTS == part)), codes.astype(np.int64)
+            else:
+                i, word = np.flatnonzero(rare), np.full(len(codes), -1)
+                names, word[i] = np.unique(rest, return_inverse=True)
+            first = (i == 0) | (codes[i - 1] == -1)
+            same = ~first & (word[i - 1] == word[i])
+            # a known word's neighbours count alike; another's say which of them are known
+            left = np.where(first, _M - 1, at[i - 1]) + _RARE * (~first & rare[i - 1] & (not known))
+            right = _M + at[i + 1] + _RARE * (rare[i + 1] & (not known))
+            left = np.where(same, _SELF, left)
+            on = word[i + 1] != word[i]
+            key, n = np.unique(np.concatenate([word[i] * _CELLS + left, word[i[on]] * _CELLS + right[on]]), return_counts=True)
+            if not known:
+                w = key // _CELLS
+                if len(w):
+                    own = np.zeros(len(names), np.int64)
+                    own[word[i]] = at[i]
+                    yield _beside(names[w], own[w], np.r_[True, w[1:] != w[:-1]], n * _CELLS + key % _CELLS)
+                continue
+            key, where = np.unique(np.concatenate([have[0], key]), return_inverse=True)
+            have = key, np.bincount(where, weights=np.concatenate([have[1], n])).astype(np.int64)
+            if len(key) > MERGE:
+                yield rows(*have)
+                have = tuple(x[:0] for x in have)
+        if len(have[0]):
+            yield rows(*have)
+
+    return seqs.mapInArrow(run, _BESIDE)
 
 
 def _g(x):
@@ -158,22 +258,165 @@ def exchange(counts: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS) -
     return of
 
 
+def _dense(left, right, own, a, table):
+    """Gain of every class for words out of class ``a``; left, right: counts of classes beside them."""
+    n, d = len(a), np.arange(len(a))
+    t = np.repeat(table[None], n, 0)
+    t[d, :, a] -= left
+    t[d, a, :] -= right
+    t[d, a, a] -= own
+    row, col = t.sum(2) + left, t.sum(1) + right
+    base = _g(t)
+    up = (_g(t + left[:, :, None]) - base).sum(1) + (_g(t + right[:, None, :]) - base).sum(2)
+    cell = np.diagonal(t, axis1=1, axis2=2)
+    up += _g(cell + left + right + own[:, None]) - _g(cell + left) - _g(cell + right) + _g(cell)
+    r, c = (right.sum(1) + own)[:, None], (left.sum(1) + own)[:, None]
+    return (up - _g(row + r) + _g(row) - _g(col + c) + _g(col))[:, :CLASSES]
+
+
+def _sparse(word, cell, n, size, own, a, table):
+    """The same for words of few occurrences, by the cells that they have; the bigrams of a word
+    with its own class are taken as those with another word of it."""
+    up = np.zeros((size, CLASSES))
+    row, col = table.sum(1)[:CLASSES], table.sum(0)[:CLASSES]
+    for side, to, sums in ((0, table[:, :CLASSES], col), (1, table.T[:, :CLASSES], row)):
+        mine = (cell < 2 * _M) & (cell // _M == side)
+        w, d, k = word[mine], cell[mine] % _M, n[mine].astype(float)
+        total = np.bincount(w, k, size) + own
+        for i in range(0, len(w), 1 << 14):
+            j = slice(i, i + (1 << 14))
+            x = to[d[j]]
+            at = np.arange(len(x))
+            x[at, a[w[j]]] = np.maximum(x[at, a[w[j]]] - k[j], 0)
+            gain = _g(x + k[j][:, None]) - _g(x)
+            first = np.flatnonzero(np.r_[True, w[j][1:] != w[j][:-1]])
+            up[w[j][first]] += np.add.reduceat(gain, first, 0)
+        for i in range(0, size, 1 << 14):
+            j = slice(i, i + (1 << 14))
+            x = np.repeat(sums[None], len(total[j]), 0)
+            at = np.arange(len(x))
+            x[at, a[j]] = np.maximum(x[at, a[j]] - total[j], 0)
+            up[j] -= _g(x + total[j][:, None]) - _g(x)
+    for i in range(0, size, 1 << 14):
+        j = slice(i, i + (1 << 14))
+        x = np.repeat(np.diagonal(table)[None, :CLASSES], len(own[j]), 0)
+        up[j] += _g(x + own[j][:, None]) - _g(x)
+    return up
+
+
+def best_class(word, cell, n, a, table) -> np.ndarray:
+    """The class of each word (numbered from 0, ``word`` ascending) that exchange gives it, from
+    the class ``a``, for its cells and the class bigrams ``table`` that it is part of."""
+    size, out = len(a), a.copy()
+    cell = np.where(cell >= _RARE, cell - _RARE, cell)
+    order = np.argsort(word * _CELLS + cell, kind="stable")
+    word, cell, n = word[order], cell[order], n[order]
+    own = np.bincount(word[cell == _SELF], n[cell == _SELF], size)
+    much = np.bincount(word, n, size) > 2 * DENSE
+
+    def to(which, up):
+        b = up.argmax(1)
+        d = np.arange(len(b))
+        out[which] = np.where(up[d, b] > up[d, a[which]] + LEAVE, b, a[which])
+
+    for i in range(0, size, 1 << 16):  # few words at a time, whatever the batch
+        some = np.arange(i, min(size, i + (1 << 16)))
+        j = slice(*np.searchsorted(word, [some[0], some[-1] + 1]))
+        w, c, k = word[j] - i, cell[j], n[j]
+        few = some[~much[some]]
+        if len(few):
+            at = np.cumsum(~much[some]) - 1
+            on = ~much[some][w]
+            to(few, _sparse(at[w[on]], c[on], k[on], len(few), own[few], a[few], table))
+        big = some[much[some]]
+        for x in range(0, len(big), 128):
+            part = big[x:x + 128]
+            at = np.full(len(some), -1)
+            at[part - i] = np.arange(len(part))
+            v = slice(*np.searchsorted(w, [part[0] - i, part[-1] - i + 1]))
+            ww, cc, kk = at[w[v]], c[v], k[v]
+            on = (ww >= 0) & (cc < _SELF)
+            both = np.bincount(ww[on] * 2 * _M + cc[on], kk[on], len(part) * 2 * _M).reshape(len(part), 2, _M)
+            to(part, _dense(both[:, 0], both[:, 1], own[part], a[part], table))
+    return out
+
+
+def moved(near: DataFrame, table) -> DataFrame:
+    """(w, class, k, n): every word of ``near`` with its new class; and, with a null w, the bigrams
+    k = before * _M + at between these words and known ones, in the new classes, per task."""
+    def run(batches):
+        total = np.zeros(_M * _M, np.int64)
+        have = None
+
+        def chosen(t, last):
+            """The new classes of the words that are whole, and the rows of the last word otherwise."""
+            w = t.column(0).to_numpy()
+            keep = len(w) if last else int(np.searchsorted(w, w[-1]))
+            at = np.flatnonzero(np.r_[True, w[1:keep] != w[:keep - 1]]) if keep else np.zeros(0, np.int64)
+            lists = t.column(2).combine_chunks() if isinstance(t.column(2), pa.ChunkedArray) else t.column(2)
+            size = np.asarray(pa.compute.list_value_length(lists)).astype(np.int64)[:keep]
+            v = lists.slice(0, keep).flatten().to_numpy()
+            a = t.column(1).to_numpy().astype(np.int64)[at]
+            word = np.repeat(np.repeat(np.arange(len(at)), np.diff(np.r_[at, keep])), size)
+            cell, n = v % _CELLS, v // _CELLS
+            to = best_class(word, cell, n, a, table.value)
+            mine = to[word]
+            k = np.where(cell < _M, cell * _M + mine, mine * _M + cell - _M)
+            on = cell < _SELF
+            total[:] += np.bincount(k[on], n[on], _M * _M).astype(np.int64)
+            none = pa.nulls(len(at), pa.int32()), pa.nulls(len(at), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(w[at]), pa.array(to.astype(np.int16)), *none], ["w", "class", "k", "n"]), t.slice(keep)
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            t = pa.Table.from_batches([b])
+            have = t if have is None else pa.concat_tables([have, t])
+            out, have = chosen(have, False)
+            yield out
+        if have is not None and have.num_rows:
+            yield chosen(have, True)[0]
+        k = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(k), pa.int64()), pa.nulls(len(k), pa.int16()), pa.array(k.astype(np.int32)),
+                                          longs(total[k])], ["w", "class", "k", "n"])
+
+    return near.repartition("w").sortWithinPartitions("w").mapInArrow(run, "w long, class short, k int, n long")
+
+
+def rare_pairs(seqs: DataFrame) -> DataFrame:
+    """(h, h2, n): neighbours that both are outside the known words."""
+    def run(batches):
+        for codes, rest in _read(batches):
+            rare = codes < -1
+            both = rare[:-1] & rare[1:]
+            at = np.cumsum(rare)[:-1][both]  # the second's place in rest
+            yield pa.RecordBatch.from_arrays([longs(rest[at - 1]), longs(rest[at])], ["h", "h2"])
+
+    return seqs.mapInArrow(run, "h long, h2 long").groupBy("h", "h2").agg(F.count(F.lit(1)).alias("n"))
+
+
+def likelihood(table: np.ndarray) -> float:
+    """Of the class bigrams, as far as it depends on the classes."""
+    return float(_g(table).sum() - _g(table.sum(0)).sum() - _g(table.sum(1)).sum())
+
+
 @dataclass
 class Model:
-    heads: tuple            # sorted hashes of the head words, their units
-    known: tuple            # sorted hashes of the most frequent words, log10(count + 0.5)
-    of: np.ndarray          # class of each unit
+    key: np.ndarray         # sorted hashes of the known words
+    known: np.ndarray       # their log10(count + 0.5)
+    of: np.ndarray          # their classes
     step: np.ndarray        # log10 P(class | class before)
-    emit: np.ndarray        # log10 P(unit | its class)
-    group: np.ndarray       # log10 of each ending group's smoothed size
+    mass: np.ndarray        # log10 of each class's smoothed size
+    new: np.ndarray         # class of a word not seen, by its ending: where most of one occurrence are
     ends: int               # training texts
     total: int              # training tokens, ends included
     kinds: int              # different training tokens
 
 
 def fit(texts: DataFrame) -> tuple[Model, DataFrame]:
-    """The model of ``texts`` (text) and the table (h, n) of all word counts."""
-    sc = texts.sparkSession.sparkContext
+    """The model of ``texts`` (text) and the table (h, n, class) of all words counted."""
+    spark = texts.sparkSession
+    sc = spark.sparkContext
     counts = stored(word_counts(texts))
     ends = texts.count()
     # the words above a frequency: its place follows from at most 4096 bins of frequencies
@@ -187,31 +430,58 @@ def fit(texts: DataFrame) -> tuple[Model, DataFrame]:
     frequent = counts.where(F.floor(F.log2("n") * 64) >= least) if least is not None else counts.where("false")
     top = frequent.toPandas().sort_values(["n", "h"], ascending=[False, True])
     h, n = top["h"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
-    order = np.argsort(h[:HEADS])
-    heads = (h[:HEADS][order], np.arange(len(order))[order])
-    group = {r["ending"]: (r["n"], r["v"]) for r in
-             counts.groupBy("ending").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()}
-    size, kinds = (np.array([group.get(i, (0, 0))[j] for i in range(ENDINGS)], np.int64) for j in (0, 1))
-    total, different = int(size.sum()) + ends, int(kinds.sum()) + (ends > 0)
-    for e, c in zip(top["ending"][:HEADS], n[:HEADS]):  # the groups hold what is no head
-        size[e] -= c
-        kinds[e] -= 1
-    table = np.zeros(_SIZE * _SIZE)
-    got = bigrams(texts, sc.broadcast(heads)).toPandas()
-    table[got["k"].to_numpy(np.int64)] = got["n"].to_numpy()
-    table = table.reshape(_SIZE, _SIZE)
-    of = exchange(table)
-    m = CLASSES + 2
-    steps = np.zeros((m, m))
-    np.add.at(steps, (of[:, None], of[None, :]), table)
-    steps = steps[:, :m - 1] + SMOOTH  # nothing leads to the start
-    step = np.log10(steps / steps.sum(1, keepdims=True))
-    seen = table.sum(0)
-    mass = np.bincount(of, seen + EMIT, m)
-    emit = np.log10((seen + EMIT) / mass[of])
+    ending = top["ending"].to_numpy(np.int64)
+    del top
     order = np.argsort(h)
-    return Model(heads, (h[order], np.log10(n[order] + 0.5)), of, step, emit,
-                 np.log10(size + 0.5 * (kinds + 1)), ends, total, different), counts.select("h", "n")
+    seqs = stored(coded(texts, sc.broadcast((h[order], order.astype(np.int32)))))
+
+    def lut(words, groups, end):  # by code: ranks from the front, ends and endings from the back
+        return np.concatenate([words, groups[::-1], [end]])
+
+    rank, groups = np.arange(len(h)), HEADS + np.arange(ENDINGS)
+    start = _table(seqs, sc.broadcast(lut(np.where(rank < HEADS, rank, HEADS + ending), groups, _END).astype(np.int16)), _SIZE)
+    unit = exchange(start)
+    seed = unit[groups]
+    of = np.where(rank < HEADS, unit[np.minimum(rank, HEADS - 1)], seed[ending]) if len(h) else np.zeros(0, np.int64)
+    table = np.zeros((_M, _M))
+    np.add.at(table, (unit[:, None], unit[None, :]), start)
+    del start
+    still = 0
+    for i in range(WORD_ROUNDS * PARTS if len(h) else 0):
+        near = beside(seqs, sc.broadcast(lut(of, seed, CLASSES).astype(np.int16)), i % PARTS)
+        got = moved(near, sc.broadcast(table)).where("w is not null").select("w", "class").toPandas()
+        to = of.copy()
+        to[got["w"].to_numpy(np.int64)] = got["class"].to_numpy()
+        after = _table(seqs, sc.broadcast(lut(to, seed, CLASSES).astype(np.int16)), _M)
+        better = likelihood(after) > likelihood(table)
+        if better:
+            of, table = to, after
+        still = 0 if better else still + 1
+        if still == PARTS:
+            break
+    # all others, beside the classes that the known words have now
+    codes = sc.broadcast(lut(of, seed, CLASSES).astype(np.int16))
+    rest = stored(moved(beside(seqs, codes, None), sc.broadcast(table)))
+    table = _table(seqs, codes, _M, _all_known)
+    words = rest.where("w is not null").select(F.col("w").alias("h"), F.col("class"))
+    pairs = (rare_pairs(seqs).join(words, "h").withColumnRenamed("class", "before")
+             .join(words.select(F.col("h").alias("h2"), "class"), "h2").select((F.col("before") * F.lit(_M) + F.col("class")).alias("k"), "n"))
+    for r in rest.where("w is null").select("k", "n").union(pairs).groupBy("k").agg(F.sum("n").alias("n")).collect():
+        table[r["k"] // _M, r["k"] % _M] += r["n"]
+    steps = table[:, :_M - 1] + SMOOTH  # nothing leads to the start
+    # the other words' counts with their classes; the known ones travel with the model
+    others = stored(counts.join(words, "h"))
+    size, kinds, once = np.bincount(of, n, _M), np.bincount(of, minlength=_M), np.zeros((ENDINGS, _M))
+    np.add.at(once, (ending, of), n == 1)
+    for r in others.groupBy("ending", "class").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v"),
+                                                   F.sum((F.col("n") == 1).cast("long")).alias("once")).collect():
+        size[r["class"]] += r["n"]
+        kinds[r["class"]] += r["v"]
+        once[r["ending"], r["class"]] += r["once"]
+    new = np.where(once.any(1), once.argmax(1), seed)
+    mass = size + EMIT * (kinds + np.bincount(new, minlength=_M))
+    return Model(h[order], np.log10(n[order] + 0.5), of[order].astype(np.int16), np.log10(steps / steps.sum(1, keepdims=True)),
+                 np.log10(np.maximum(mass, EMIT)), new, ends, int(size.sum()) + ends, int(kinds.sum()) + (ends > 0)), others.drop("ending")
 
 
 def scored(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
@@ -230,33 +500,58 @@ def scored(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
         for b in slices(batches, 1):
             h, ending, first = tokens(b.column(1))
             n, doc = b.num_rows, W.owner(first)
-            unit = _units(h, ending, m.heads)
-            before, at, of = _sequence(unit, first)
-            cls = np.bincount(of, m.step[m.of[before], m.of[at]] + m.emit[at], n)
-            tail = unit >= HEADS
-            key, value = m.known
-            k = np.minimum(np.searchsorted(key, h), max(len(key) - 1, 0))
-            known = key[k] == h if len(key) else np.zeros(len(h), bool)
-            log = np.where(known, value[k], 0.0) if len(key) else np.zeros(len(h))
+            k, known = _places(m.key, h)
+            log = np.where(known, m.known[k], 0.0) if len(m.key) else np.zeros(len(h))
+            kind = np.where(known, m.of[k], -1).astype(np.int64) if len(m.key) else np.full(len(h), -1)
             base = np.bincount(doc, log, n) + np.log10(m.ends + 0.5)
-            cls += np.bincount(doc[tail], log[tail] - m.group[ending[tail]], n)
-            rest = h[~known]
-            cut = np.concatenate([[0], np.cumsum(np.bincount(doc[~known], minlength=n))])
+            # classes in order, -1 where the join has to tell; transitions between known ones count here
+            at = np.full(len(h) + n, CLASSES)
+            at[np.arange(len(h)) + doc] = kind
+            before = np.concatenate([[_M - 1], np.where(at[:-1] == CLASSES, _M - 1, at[:-1])])[:len(at)]
+            of, sure = np.repeat(np.arange(n), np.diff(first) + 1), (before >= 0) & (at >= 0)
+            cls = np.zeros(n) + np.bincount(of[sure], m.step[before[sure], at[sure]], n)
+            cls += np.bincount(doc[known], log[known] - m.mass[kind[known]], n)
+            rest = np.flatnonzero(at < 0)
+            cut = pa.array(np.concatenate([[0], np.cumsum(np.bincount(doc[~known], minlength=n))]), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(np.diff(first) + 1, pa.int64()),
                  pa.array(np.bincount(doc[known], minlength=n) + (m.ends > 0), pa.int64()), pa.array(base), pa.array(cls),
-                 pa.ListArray.from_arrays(pa.array(cut, pa.int32()), longs(rest))],
-                ["doc_id", "n_tokens", "n_known", "base", "cls", "rest"])
+                 pa.ListArray.from_arrays(cut, longs(h[~known])),
+                 pa.ListArray.from_arrays(cut, pa.array(m.new[ending[~known]].astype(np.int8))),
+                 pa.ListArray.from_arrays(cut, pa.array(before[rest].astype(np.int8))),
+                 pa.ListArray.from_arrays(cut, pa.array(at[rest + 1].astype(np.int8)))],
+                ["doc_id", "n_tokens", "n_known", "base", "cls", "rest", "new", "before", "after"])
 
     rows = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-                  .mapInArrow(run, "doc_id long, n_tokens long, n_known long, base double, cls double, rest array<long>")
+                  .mapInArrow(run, "doc_id long, n_tokens long, n_known long, base double, cls double, rest array<long>, "
+                                   "new array<tinyint>, before array<tinyint>, after array<tinyint>")
                   .withColumn("row", F.monotonically_increasing_id()))
-    rare = rows.select("row", F.explode("rest").alias("h")).join(counts, "h", "left")
-    looked = rare.groupBy("row").agg(F.sum(F.log10(F.coalesce("n", F.lit(0)) + F.lit(0.5))).alias("log"),
-                                     F.count("n").alias("seen"))
-    log, seen = F.coalesce("log", F.lit(0.0)), F.coalesce("seen", F.lit(0))
+    rare = rows.select("row", F.posexplode("rest").alias("p", "h"), *(F.get(c, F.col("p")).alias(c) for c in ("new", "before", "after")))
+    looked = (rare.join(counts, "h", "left").withColumn("class", F.coalesce("class", "new")).groupBy("row")
+              .agg(F.sort_array(F.collect_list(F.struct("p", "n", "class", "before", "after"))).alias("found")))
+
+    def rest(batches):
+        """(row, log, seen, cls) of the words that were joined."""
+        m = held.value
+        for b in batches:
+            found = b.column(1)
+            size = np.asarray(pa.compute.list_value_length(found)).astype(np.int64)
+            p, n, kind, before, after = (x.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64) for x in found.flatten().flatten())
+            doc = np.repeat(np.arange(len(size)), size)
+            seen = n >= 0
+            log = np.log10(np.maximum(n, 0) + 0.5)
+            before = np.where(before < 0, np.r_[0, kind[:-1]][:len(kind)], before)
+            cls = log - m.mass[kind] + m.step[before, kind]
+            on = after >= 0
+            cls[on] += m.step[kind[on], after[on]]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.bincount(doc, log, len(size)), pa.float64()),
+                                              pa.array(np.bincount(doc, seen, len(size)).astype(np.int64)),
+                                              pa.array(np.bincount(doc, cls, len(size)), pa.float64())], ["row", "log", "seen", "more"])
+
+    looked = looked.mapInArrow(rest, "row long, log double, seen long, more double")
+    log, seen, more = (F.coalesce(c, F.lit(0)) for c in ("log", "seen", "more"))
     share = float(np.log10(model.total + 0.5 * (model.kinds + 1)))
-    return rows.drop("rest").join(looked, "row", "left").select(
+    return rows.drop("rest", "new", "before", "after").join(looked, "row", "left").select(
         "doc_id", "n_tokens", (F.col("n_known") + seen).alias("n_known"),
         F.lit(model.total).cast("long").alias("train_tokens"),
-        (F.col("base") + log - F.col("n_tokens") * F.lit(share)).alias("base_score"), (F.col("cls") + log).alias("score"))
+        (F.col("base") + log - F.col("n_tokens") * F.lit(share)).alias("base_score"), (F.col("cls") + more).alias("score"))

@@ -4,7 +4,7 @@ from zlib import crc32
 
 import numpy as np
 
-from ferret.llm import brown_lm, quality_model, queries, toxicity
+from ferret.llm import brown_lm, quality_model, queries, toxicity, wordhash
 from ferret.llm.common import held_out, table
 from pyspark.sql import functions as F
 from tests.conftest import SF_MID
@@ -122,3 +122,71 @@ def test_exchange_ends_where_no_move_helps():
             other = end.copy()
             other[i] = c
             assert fit(other) <= fit(end) + 1e-6
+
+
+def test_gain_of_a_word_is_that_of_the_likelihood():
+    rng = np.random.default_rng(5)
+    m, words = brown_lm._M, 300
+    counts = rng.poisson(0.3, (words, words)).astype(float)
+    of = rng.integers(0, 7, words)
+
+    def table(of):
+        t = np.zeros((m, m))
+        np.add.at(t, (of[:, None], of[None, :]), counts)
+        return t
+    now = table(of)
+    for w in range(10):
+        left, right = (np.bincount(of, x, m) for x in (counts[:, w], counts[w]))
+        own = counts[w, w]
+        left[of[w]] -= own
+        right[of[w]] -= own
+        up = brown_lm._dense(left[None], right[None], np.array([own]), of[w:w + 1], now)[0]
+        cell, n = np.r_[np.arange(2 * m), brown_lm._SELF], np.r_[left, right, own].astype(int)
+        near = brown_lm._sparse(np.zeros(2 * m + 1, int)[n > 0], cell[n > 0], n[n > 0], 1, np.array([own]), of[w:w + 1], now)[0]
+        for c in range(7):
+            other = of.copy()
+            other[w] = c
+            gain = brown_lm.likelihood(table(other)) - brown_lm.likelihood(now)
+            assert math.isclose(up[c] - up[of[w]], gain, abs_tol=1e-6)
+            assert abs(near[c] - near[of[w]] - gain) < 3 + 0.1 * abs(gain)  # the table is small beside the word
+
+
+def test_every_word_has_a_class_by_exchange(spark):
+    """More words than travel to the tasks, the others of equal endings but of two kinds."""
+    rng = np.random.default_rng(6)
+    start = [f"h{i}" for i in range(brown_lm.HEADS + 100)]
+    texts = [" ".join(start[i] for i in rng.permutation(len(start))) for _ in range(4)]
+    # two kinds of frequent words that follow one another; u-words stand like the first, v-words like the second
+    texts += [" ".join(f"{'ab'[i % 2]}{rng.integers(20)}" for i in range(200)) for _ in range(100)]
+    for k, (before, after) in {"u": "bb", "v": "aa"}.items():
+        texts += [f"{before}{rng.integers(20)} {k}{i}ing {after}{rng.integers(20)}" for i in range(100) for _ in range(3)]
+    many = [f"z{i}" for i in range(brown_lm.KNOWN + 10)]
+    texts += [" ".join(many[i:i + 500]) for i in range(0, len(many), 500) for _ in range(3)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    model, counts = brown_lm.fit(docs)
+    of = {r.h: r["class"] for r in counts.collect()}
+    assert len(of) + len(model.key) == len({w for t in texts for w in t.split()}) and len(of) > 200
+    of |= dict(zip(model.key.view(np.int64).tolist(), model.of.tolist()))
+    named = {w: of[np.uint64(wordhash.word_hash(w)).astype(np.int64).item()] for w in {w for t in texts for w in t.split()}}
+    kinds = [Counter(named[f"{k}{i}ing"] for i in range(100)).most_common(1)[0] for k in "uv"]
+    assert kinds[0][0] != kinds[1][0] and min(n for _, n in kinds) > 90
+    # transitions and sizes are those of all texts in these classes, and scores follow from them
+    n, end = Counter(w for t in texts for w in t.split()), brown_lm.CLASSES
+    steps, size = np.zeros((end + 2, end + 1)), np.full(end + 2, 0.5) * np.bincount(model.new, minlength=end + 2)
+    size[end] = 1
+    for w, c in n.items():
+        size[named[w]] += c + 0.5
+    for t in texts:
+        s = [end + 1, *(named[w] for w in t.split()), end]
+        np.add.at(steps, (s[:-1], s[1:]), 1)
+    steps = np.log10((steps + brown_lm.SMOOTH) / (steps + brown_lm.SMOOTH).sum(1, keepdims=True))
+    assert np.allclose(model.step, steps)
+    odd = ["z1 z2 a1 z3 h1", "neverseen z1 neverseen", "", None, "u1ing v1ing h5"]
+    got = brown_lm.scored(spark.createDataFrame([*enumerate([*texts[:20], *texts[-20:], *odd])], "doc_id long, text string"), model, counts).collect()
+    new = model.new[int(wordhash.hashes(np.frombuffer(b"een", np.uint8), np.array([0]), np.array([3]))[0] % np.uint64(brown_lm.ENDINGS))]
+    for r, t in zip(sorted(got, key=lambda r: r.doc_id), [*texts[:20], *texts[-20:], *odd]):
+        ws = (t or "").split()
+        s = [end + 1, *(named.get(w, new) for w in ws), end]
+        want = steps[s[:-1], s[1:]].sum() + sum(math.log10((n[w] + 0.5) / size[c]) for w, c in zip(ws, s[1:]))
+        assert math.isclose(r.score, want, rel_tol=1e-9)
+        assert r.n_known == sum(w in n for w in ws) + 1
