@@ -42,31 +42,53 @@ MERGE = 2_000_000
 
 
 def tokens(column: pa.Array):
-    """(hash, ending group, first) of the words of texts, A-Z lower-cased."""
+    """(hash, first, ending) of the words of texts, A-Z lower-cased; ending: the groups of some of them."""
     data, offs = texts_of(column)
-    data = W.LOWER[data]
+    data = data | ((data - np.uint8(65) < 26).view(np.uint8) << 5)
     start, end, first = W.bounds(data, offs)
-    ending = (W.hashes(data, np.maximum(start, end - 3), end) % np.uint64(ENDINGS)).astype(np.int64)
-    return W.hashes(data, start, end), ending, first
+
+    def ending(at):
+        size = np.minimum(end[at] - start[at], 3)
+        last = data[np.maximum(end[at][:, None] - np.array([3, 2, 1]), 0)].ravel()
+        stop = np.arange(3, len(last) + 1, 3)
+        return (W.hashes(last, stop - size, stop) % np.uint64(ENDINGS)).astype(np.int64)
+
+    return W.hashes(data, start, end), first, ending
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
     """(h, ending, n): every word of ``texts`` (text) and its occurrences, summed per task first."""
-    def run(batches):
-        have = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
-
-        def merged(parts):
-            h, e, n = (np.concatenate(x) for x in zip(*parts))
-            one, at, where = np.unique(h, return_index=True, return_inverse=True)
-            return one, e[at], np.bincount(where, weights=n, minlength=len(one)).astype(np.int64)
+    def distinct(h):
+        """(hash, place of one occurrence, number of the hash for each word)."""
+        coded = longs(h).dictionary_encode()
+        number, one = coded.indices.to_numpy(), coded.dictionary.to_numpy().view(np.uint64)
+        at = np.empty(len(one), np.int64)
+        at[number] = np.arange(len(h))
+        return one, at, number
+
+    def merged(parts):
+        h, e, n = (np.concatenate(x) for x in zip(*parts))
+        one, at, number = distinct(h)
+        return one, e[at], np.bincount(number, weights=n, minlength=len(one)).astype(np.int64)
 
-        for b in slices(batches, 0, 8 << 20):
-            h, ending, _ = tokens(b.column(0))
-            have = merged([have, (h, ending, np.ones(len(h), np.int64))])
-            if len(have[0]) > MERGE:
-                yield pa.RecordBatch.from_arrays([longs(have[0]), pa.array(have[1].astype(np.int16)), longs(have[2])], ["h", "ending", "n"])
-                have = tuple(x[:0] for x in have)
-        yield pa.RecordBatch.from_arrays([longs(have[0]), pa.array(have[1].astype(np.int16)), longs(have[2])], ["h", "ending", "n"])
+    def run(batches):
+        have, size = [], 0
+        for b in slices(batches, 0):
+            h, _, ending = tokens(b.column(0))
+            one, at, number = distinct(h)
+            have.append((one, ending(at).astype(np.int16), np.bincount(number, minlength=len(one))))
+            size += len(one)
+            if size > MERGE:
+                have = [merged(have)]
+                size = len(have[0][0])
+                if size > MERGE // 2:
+                    yield row(have[0])
+                    have, size = [], 0
+        if have:
+            yield row(merged(have))
+
+    def row(x):
+        return pa.RecordBatch.from_arrays([longs(x[0]), pa.array(x[1]), longs(x[2])], ["h", "ending", "n"])
 
     return (texts.select("text").mapInArrow(run, "h long, ending short, n long")
             .groupBy("h").agg(F.max("ending").alias("ending"), F.sum("n").alias("n")))
@@ -80,12 +102,29 @@ _M = CLASSES + 2  # classes of words, then those of the end and of the start
 _SELF, _RARE, _CELLS = 2 * _M, 2 * _M + 1, 512
 
 
-def _places(key: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where each of ``h`` stands in the sorted ``key``, and whether it does."""
-    if not len(key):
-        return np.zeros(len(h), np.int64), np.zeros(len(h), bool)
-    k = np.minimum(np.searchsorted(key, h), len(key) - 1)
-    return k, key[k] == h
+#: Bits of a hash that name its bin among the known words: few of them share one.
+_BIN = 18
+
+
+def _places(key: np.ndarray):
+    """A function that gives where each of some hashes stands in the sorted ``key``, len(key) where it does not."""
+    shift, none = np.uint64(64 - _BIN), len(key)
+    first = np.concatenate([[0], np.cumsum(np.bincount((key >> shift).astype(np.int64), minlength=1 << _BIN))]).astype(np.int32)
+    key = np.append(key, np.uint64(0))
+
+    def places(h):
+        bin = (h >> shift).astype(np.int64)
+        at, stop = first[bin], first[bin + 1]
+        left = np.flatnonzero((key[at] != h) | (at == stop))
+        while len(left):
+            last = at[left] + 1 >= stop[left]
+            at[left[last]] = none
+            left = left[~last]
+            at[left] += 1
+            left = left[key[at[left]] != h[left]]
+        return at
+
+    return places
 
 
 def coded(texts: DataFrame, known) -> DataFrame:
@@ -93,12 +132,16 @@ def coded(texts: DataFrame, known) -> DataFrame:
     a known word, -1 for the end of a text, -2 - ending for the others, whose hashes are ``rest``."""
     def run(batches):
         key, rank = known.value
+        places, rank = _places(key), np.append(rank, np.int32(0))
         for b in slices(batches, 0):
-            h, ending, first = tokens(b.column(0))
-            k, found = _places(key, h)
+            h, first, ending = tokens(b.column(0))
+            k = places(h)
+            rare = np.flatnonzero(k == len(key))
+            code = rank[k]
+            code[rare] = -2 - ending(rare)
             out = np.full(len(h) + b.num_rows, -1, np.int32)
-            out[np.arange(len(h)) + W.owner(first)] = np.where(found, rank[k], -2 - ending) if len(key) else -2 - ending
-            yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary()), pa.array([h[~found].tobytes()], pa.binary())],
+            out[np.arange(len(h)) + W.owner(first)] = code
+            yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary()), pa.array([h[rare].tobytes()], pa.binary())],
                                              ["codes", "rest"])
 
     return texts.select("text").mapInArrow(run, "codes binary, rest binary")
@@ -147,6 +190,8 @@ def _all_known(codes: np.ndarray) -> np.ndarray:
 
 
 _BESIDE = "w long, own short, cells array<long>"
+#: Bits of a count beside its cell of a known word (18 bits of the word, 9 of the cell).
+_COUNT = 36
 
 
 def _beside(w, own, start, cells):
@@ -163,7 +208,14 @@ def beside(seqs: DataFrame, of_code, part: int | None) -> DataFrame:
 
     def run(batches):
         lut = of_code.value
-        have = (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        have, size = [], 0
+
+        def merged():
+            """The cells so far, each once: cell and count sorted as one number."""
+            both = np.sort(np.concatenate(have))
+            key = both >> _COUNT
+            at = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            return key[at], np.add.reduceat(both & ((1 << _COUNT) - 1), at)
 
         def rows(key, n):
             w = key // _CELLS
@@ -192,13 +244,16 @@ def beside(seqs: DataFrame, of_code, part: int | None) -> DataFrame:
                     own[word[i]] = at[i]
                     yield _beside(names[w], own[w], np.r_[True, w[1:] != w[:-1]], n * _CELLS + key % _CELLS)
                 continue
-            key, where = np.unique(np.concatenate([have[0], key]), return_inverse=True)
-            have = key, np.bincount(where, weights=np.concatenate([have[1], n])).astype(np.int64)
-            if len(key) > MERGE:
-                yield rows(*have)
-                have = tuple(x[:0] for x in have)
-        if len(have[0]):
-            yield rows(*have)
+            have.append(key << _COUNT | n)
+            size += len(key)
+            if size > MERGE:
+                key, n = merged()
+                have, size = [key << _COUNT | n], len(key)
+                if size > MERGE // 2:
+                    yield rows(key, n)
+                    have, size = [], 0
+        if size:
+            yield rows(*merged())
 
     return seqs.mapInArrow(run, _BESIDE)
 
@@ -266,7 +321,8 @@ def _dense(left, right, own, a, table):
     t[d, a, :] -= right
     t[d, a, a] -= own
     row, col = t.sum(2) + left, t.sum(1) + right
-    base = _g(t)
+    base = np.repeat(_g(table)[None], n, 0)  # of t, which differs by a row and a column
+    base[d, :, a], base[d, a, :] = _g(t[d, :, a]), _g(t[d, a, :])
     up = (_g(t + left[:, :, None]) - base).sum(1) + (_g(t + right[:, None, :]) - base).sum(2)
     cell = np.diagonal(t, axis1=1, axis2=2)
     up += _g(cell + left + right + own[:, None]) - _g(cell + left) - _g(cell + right) + _g(cell)
@@ -281,29 +337,47 @@ def _sparse(word, cell, n, size, own, a, table):
     row, col = table.sum(1)[:CLASSES], table.sum(0)[:CLASSES]
     for side, to, sums in ((0, table[:, :CLASSES], col), (1, table.T[:, :CLASSES], row)):
         mine = (cell < 2 * _M) & (cell // _M == side)
-        w, d, k = word[mine], cell[mine] % _M, n[mine].astype(float)
-        total = np.bincount(w, k, size) + own
+        w, d, k = word[mine], cell[mine] % _M, n[mine].astype(np.int64)
+        total = (np.bincount(w, k, size) + own).astype(np.int64)
+        most = int(k.max(initial=0)) + 1
+        gains = _gains(to, d * most + k, most)
         for i in range(0, len(w), 1 << 14):
             j = slice(i, i + (1 << 14))
-            x = to[d[j]]
-            at = np.arange(len(x))
-            x[at, a[w[j]]] = np.maximum(x[at, a[w[j]]] - k[j], 0)
-            gain = _g(x + k[j][:, None]) - _g(x)
+            gain = gains(j, a[w[j]], True)
             first = np.flatnonzero(np.r_[True, w[j][1:] != w[j][:-1]])
             up[w[j][first]] += np.add.reduceat(gain, first, 0)
+        gains = _gains(sums[None], total, int(total.max(initial=0)) + 1)
         for i in range(0, size, 1 << 14):
             j = slice(i, i + (1 << 14))
-            x = np.repeat(sums[None], len(total[j]), 0)
-            at = np.arange(len(x))
-            x[at, a[j]] = np.maximum(x[at, a[j]] - total[j], 0)
-            up[j] -= _g(x + total[j][:, None]) - _g(x)
+            up[j] -= gains(j, a[j], True)
+    gains = _gains(np.diagonal(table)[None, :CLASSES], own.astype(np.int64), int(own.max(initial=0)) + 1)
     for i in range(0, size, 1 << 14):
         j = slice(i, i + (1 << 14))
-        x = np.repeat(np.diagonal(table)[None, :CLASSES], len(own[j]), 0)
-        up[j] += _g(x + own[j][:, None]) - _g(x)
+        up[j] += gains(j, a[j], False)
     return up
 
 
+def _gains(to, key, most):
+    """What counts add to the rows of ``to``, key = row * most + count: reckoned once for equal keys.
+    The function gives it for some of them, with the counts taken out of the column ``a`` before or not."""
+    kinds = np.zeros(len(to) * most, bool)
+    kinds[key] = True
+    number = np.cumsum(kinds) - 1
+    x, k = np.divmod(np.flatnonzero(kinds), most)
+    x = to[x]
+    gain = _g(x + k[:, None]) - _g(x)
+
+    def gains(j, a, out):
+        up = gain[number[key[j]]]
+        if out:
+            x, k = np.divmod(key[j], most)
+            x = np.maximum(to[x, a] - k, 0)
+            up[np.arange(len(k)), a] = _g(x + k) - _g(x)
+        return up
+
+    return gains
+
+
 def best_class(word, cell, n, a, table) -> np.ndarray:
     """The class of each word (numbered from 0, ``word`` ascending) that exchange gives it, from
     the class ``a``, for its cells and the class bigrams ``table`` that it is part of."""
@@ -497,27 +571,30 @@ def scored(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
 
     def run(batches):
         m = held.value
+        places = _places(m.key)
+        # one more row for a word that the join has to tell: class -1, nothing to add
+        logs, kinds = np.append(m.known, 0.0), np.append(m.of, np.int16(-1))
+        emit = np.append(m.known - m.mass[m.of], 0.0)
+        step = np.pad(m.step, ((1, 0), (1, 0))).ravel()
         for b in slices(batches, 1):
-            h, ending, first = tokens(b.column(1))
-            n, doc = b.num_rows, W.owner(first)
-            k, known = _places(m.key, h)
-            log = np.where(known, m.known[k], 0.0) if len(m.key) else np.zeros(len(h))
-            kind = np.where(known, m.of[k], -1).astype(np.int64) if len(m.key) else np.full(len(h), -1)
-            base = np.bincount(doc, log, n) + np.log10(m.ends + 0.5)
-            # classes in order, -1 where the join has to tell; transitions between known ones count here
-            at = np.full(len(h) + n, CLASSES)
-            at[np.arange(len(h)) + doc] = kind
-            before = np.concatenate([[_M - 1], np.where(at[:-1] == CLASSES, _M - 1, at[:-1])])[:len(at)]
-            of, sure = np.repeat(np.arange(n), np.diff(first) + 1), (before >= 0) & (at >= 0)
-            cls = np.zeros(n) + np.bincount(of[sure], m.step[before[sure], at[sure]], n)
-            cls += np.bincount(doc[known], log[known] - m.mass[kind[known]], n)
-            rest = np.flatnonzero(at < 0)
-            cut = pa.array(np.concatenate([[0], np.cumsum(np.bincount(doc[~known], minlength=n))]), pa.int32())
+            h, first, ending = tokens(b.column(1))
+            n, doc, size = b.num_rows, W.owner(first), np.diff(first)
+            k = places(h)
+            base = np.bincount(doc, logs[k], n) + np.log10(m.ends + 0.5)
+            # classes in order; transitions between known ones count here
+            at = np.full(len(h) + n, CLASSES, np.int16)
+            at[np.arange(len(h)) + doc] = kinds[k]
+            before = np.concatenate([[np.int16(_M - 1)], np.where(at[:-1] == CLASSES, np.int16(_M - 1), at[:-1])])[:len(at)]
+            cls = np.bincount(np.repeat(np.arange(n), size + 1), step[(before + 1) * np.int16(_M) + at + 1], n)
+            cls += np.bincount(doc, emit[k], n)
+            rest, rare = np.flatnonzero(at < 0), np.flatnonzero(k == len(m.key))
+            unknown = np.bincount(doc[rare], minlength=n)
+            cut = pa.array(np.concatenate([[0], np.cumsum(unknown)]), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(np.diff(first) + 1, pa.int64()),
-                 pa.array(np.bincount(doc[known], minlength=n) + (m.ends > 0), pa.int64()), pa.array(base), pa.array(cls),
-                 pa.ListArray.from_arrays(cut, longs(h[~known])),
-                 pa.ListArray.from_arrays(cut, pa.array(m.new[ending[~known]].astype(np.int8))),
+                [b.column(0), pa.array(size + 1, pa.int64()), pa.array(size - unknown + (m.ends > 0), pa.int64()),
+                 pa.array(base), pa.array(cls),
+                 pa.ListArray.from_arrays(cut, longs(h[rare])),
+                 pa.ListArray.from_arrays(cut, pa.array(m.new[ending(rare)].astype(np.int8))),
                  pa.ListArray.from_arrays(cut, pa.array(before[rest].astype(np.int8))),
                  pa.ListArray.from_arrays(cut, pa.array(at[rest + 1].astype(np.int8)))],
                 ["doc_id", "n_tokens", "n_known", "base", "cls", "rest", "new", "before", "after"])

@@ -3,6 +3,7 @@ from collections import Counter
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 
 from ferret.llm import brown_lm, quality_model, queries, toxicity, wordhash
 from ferret.llm.common import held_out, table
@@ -151,6 +152,58 @@ def test_gain_of_a_word_is_that_of_the_likelihood():
             assert abs(near[c] - near[of[w]] - gain) < 3 + 0.1 * abs(gain)  # the table is small beside the word
 
 
+def test_gains_of_equal_cells_are_reckoned_once(monkeypatch):
+    """The logarithms behind the exchange follow the different cells and counts, not the words that have them."""
+    rng = np.random.default_rng(7)
+    m, size, reckoned, g = brown_lm._M, 5000, [0], brown_lm._g
+    table = rng.poisson(30, (m, m)).astype(float)
+    word = np.repeat(np.arange(size), 6)
+    cell = np.sort(np.array([rng.choice(2 * m, 6, replace=False) for _ in range(size)]), axis=1).ravel()
+    n, a, own = rng.integers(1, 4, len(word)), rng.integers(0, brown_lm.CLASSES, size), rng.integers(0, 3, size).astype(float)
+
+    def counted(x):
+        reckoned[0] += np.size(x)
+        return g(x)
+    monkeypatch.setattr(brown_lm, "_g", counted)
+    up = brown_lm._sparse(word, cell, n, size, own, a, table)
+    assert reckoned[0] < 8 * len(word) + 10 * m * m * brown_lm.CLASSES < len(word) * brown_lm.CLASSES * 2
+    row, col = table.sum(1), table.sum(0)
+    for w in rng.integers(0, size, 20):
+        for c in range(brown_lm.CLASSES):
+            want, sums = g(table[c, c] + own[w]) - g(table[c, c]), [own[w], own[w]]
+            for x, k in zip(cell[word == w], n[word == w]):
+                side, d = divmod(x, m)
+                t = (table[d, c] if side == 0 else table[c, d]) - (k if c == a[w] else 0)
+                want += g(max(t, 0) + k) - g(max(t, 0))
+                sums[side] += k
+            for total, k in zip((col[c], row[c]), sums):
+                t = max(total - (k if c == a[w] else 0), 0)
+                want -= g(t + k) - g(t)
+            assert math.isclose(up[w, c], want, abs_tol=1e-8)
+
+
+def test_places_of_hashes_in_full_bins():
+    rng = np.random.default_rng(8)
+    low = rng.integers(0, 1 << 40, 40).astype(np.uint64)
+    for key in (np.zeros(0, np.uint64), np.unique(np.r_[low, low + np.uint64(3 << 62), np.uint64(2**64 - 1) - low, np.uint64(0)]),
+                np.unique(rng.integers(0, 2**64, 3000, np.uint64))):
+        h = np.r_[key[::-1], key + np.uint64(1), low, rng.integers(0, 2**64, 1000, np.uint64), np.uint64(0), np.uint64(2**64 - 1)]
+        where = {k: i for i, k in enumerate(key.tolist())}
+        assert brown_lm._places(key)(h).tolist() == [where.get(x, len(key)) for x in h.tolist()]
+
+
+def test_endings_are_those_of_the_last_three_bytes():
+    text = "a Bc dEf ghij é xyé " + "long" * 100_000
+    h, first, ending = brown_lm.tokens(pa.array([text, None, "", "Z", text]))
+    want = [w.encode() for w in [*words(text.lower()), "z", *words(text.lower())]]
+    assert h.tolist() == [wordhash.word_hash(w.decode()) for w in want] and first.tolist() == [0, 7, 7, 7, 8, 15]
+
+    def group(w):
+        return int(wordhash.hashes(np.frombuffer(w[-3:], np.uint8), np.array([0]), np.array([len(w[-3:])]))[0] % np.uint64(brown_lm.ENDINGS))
+    assert ending(np.arange(15)).tolist() == [group(w) for w in want]
+    assert ending(np.array([7, 3])).tolist() == [group(want[7]), group(want[3])] and not len(ending(np.zeros(0, np.int64)))
+
+
 def test_every_word_has_a_class_by_exchange(spark):
     """More words than travel to the tasks, the others of equal endings but of two kinds."""
     rng = np.random.default_rng(6)
