@@ -138,7 +138,9 @@ def links(fps: DataFrame, bits: int = 3, chunk: int = CHUNK) -> DataFrame:
     cells = _cells(fps)
     shared = (cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("home").alias("h"))
               .where("n > 1 and h = 1").select("cell", F.ceil(F.col("n") / F.lit(chunk)).cast("int").alias("k")))
-    met = cells.join(shared, "cell").withColumn("own", F.pmod(F.xxhash64("fp"), "k").cast("int"))
+    # Spark takes the size of cells from the fingerprints, before the explode gives 34 rows for each:
+    # without the hint it may broadcast them
+    met = cells.join(shared.hint("merge"), "cell").withColumn("own", F.pmod(F.xxhash64("fp"), "k").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("k") - 1))
     blocks = (met.select("cell", "fp", "own", other.alias("j"))
               .select("cell", F.least("own", "j").alias("i"), F.greatest("own", "j").alias("j"), "fp"))

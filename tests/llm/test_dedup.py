@@ -1,6 +1,7 @@
 import hashlib
 
 import numpy as np
+from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from ferret.llm import queries, simhash, substring_dedup
@@ -68,6 +69,14 @@ def test_links_of_random_bits_and_crowded_cells(spark):
         assert found == expect
 
 
+def test_exploded_cells_are_never_broadcast(spark):
+    fps = spark.range(3000).select(F.xxhash64("id").alias("fp")).groupBy("fp").agg(F.count(F.lit(1)).alias("n"))
+    found = simhash.links(fps.select("fp"))
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_simhash_odd_rows(odd, empty):
     rows = simhash.near_duplicates(odd).collect()
     assert len(rows) == odd.count()
